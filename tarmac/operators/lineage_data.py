@@ -51,27 +51,36 @@ def dataset_id(namespace: Column, name: Column, aliases: Aliases) -> Column:
     return F.coalesce(F.concat(common, F.lit("/"), rest), plain)
 
 
-def _job_id() -> Column:
-    return F.concat(F.lit("job:"), F.col("job.namespace"), F.lit("/"), F.col("job.name"))
+def _no_texts() -> Column:
+    return F.array().cast("array<string>")
 
 
 def dataset_edges(events: DataFrame, aliases: Aliases) -> DataFrame:
     """input dataset -> job and job -> output dataset, with the number of events that report each edge.
 
-    Inputs are not paired with outputs: a job is a node of its own.
+    Inputs are not paired with outputs: a job is a node of its own. Only addresses and names are read.
     """
-    job = _job_id()
 
     def ends(side: str, kind: str) -> Column:
-        def edge(d: Column) -> Column:
-            ds = dataset_id(d["namespace"], d["name"], aliases)
-            src, dst = (ds, job) if kind == "read" else (job, ds)
-            return F.struct(src.alias("src"), dst.alias("dst"), F.lit(kind).alias("kind"))
-
-        return F.coalesce(F.transform(side, edge), F.array().cast("array<struct<src:string,dst:string,kind:string>>"))
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            F.coalesce(F.col(f"{side}.namespace"), _no_texts()).alias("namespace"),
+            F.coalesce(F.col(f"{side}.name"), _no_texts()).alias("name"),
+        )
 
-    every = F.concat(ends("inputs", "read"), ends("outputs", "write"))
-    return events.select(F.inline(every)).groupBy("src", "dst", "kind").agg(F.count(F.lit(1)).alias("n_events"))
+    job = F.concat(F.lit("job:"), F.col("job.namespace"), F.lit("/"), F.col("job.name"))
+    sides = events.select(job.alias("job_id"), F.inline(F.array(ends("inputs", "read"), ends("outputs", "write"))))
+    named = sides.select("job_id", "kind", F.inline(F.arrays_zip("namespace", "name")))
+    dataset, is_read = dataset_id(F.col("namespace"), F.col("name"), aliases), F.col("kind") == "read"
+    return (
+        named.select("job_id", "kind", dataset.alias("dataset"))
+        .groupBy(
+            F.when(is_read, F.col("dataset")).otherwise(F.col("job_id")).alias("src"),
+            F.when(is_read, F.col("job_id")).otherwise(F.col("dataset")).alias("dst"),
+            "kind",
+        )
+        .agg(F.count(F.lit(1)).alias("n_events"))
+    )
 
 
 def lineage_gap(edges: DataFrame) -> DataFrame:
@@ -90,14 +99,14 @@ def lineage_gap(edges: DataFrame) -> DataFrame:
 
 def _outputs(events: DataFrame, aliases: Aliases) -> DataFrame:
     """One row per (event, output) that has column lineage."""
-    declared = F.transform("inputs", lambda d: F.concat(d["namespace"], F.lit("/"), d["name"]))
+    declared = F.zip_with("inputs.namespace", "inputs.name", lambda ns, name: F.concat(ns, F.lit("/"), name))
     return (
-        events.select(F.coalesce(declared, F.array().cast("array<string>")).alias("declared"), F.explode("outputs").alias("o"))
+        events.select(F.coalesce(declared, _no_texts()).alias("declared"), F.explode("outputs").alias("o"))
         .select(
             "declared",
             dataset_id(F.col("o.namespace"), F.col("o.name"), aliases).alias("dataset"),
             F.col("o.facets.columnLineage.fields").alias("fields"),
-            F.transform("o.facets.schema.fields", lambda c: c["name"]).alias("schema_columns"),
+            F.col("o.facets.schema.fields.name").alias("schema_columns"),
         )
         .filter(F.col("fields").isNotNull())
     )
@@ -126,32 +135,41 @@ def collapse_intermediates(events: DataFrame, aliases: Aliases) -> DataFrame:
     column is looked up in the same lineage map: where that entry leads to a declared input the edge is
     ``collapsed`` to it, otherwise it stays and is marked ``unresolved``. No source is invented.
     """
-    outputs = _outputs(events, aliases)
 
     def is_declared(f: Column) -> Column:
         return F.array_contains(F.col("declared"), F.concat(f["namespace"], F.lit("/"), f["name"]))
 
-    def mark(f: Column, status: str) -> Column:
+    def edge(column: Column, f: Column, status: str) -> Column:
         return F.struct(
-            dataset_id(f["namespace"], f["name"], aliases).alias("src_dataset"),
+            column.alias("column_name"),
+            f["namespace"].alias("namespace"),
+            f["name"].alias("name"),
             f["field"].alias("src_column"),
             F.lit(status).alias("status"),
         )
 
-    def resolved(f: Column) -> Column:
+    def of_source(column: Column, f: Column) -> Column:
         behind = F.filter(F.try_element_at(F.col("fields"), f["field"])["inputFields"], is_declared)
         return (
-            F.when(is_declared(f), F.array(mark(f, "direct")))
-            .when(F.size(behind) > 0, F.transform(behind, lambda b: mark(b, "collapsed")))
-            .otherwise(F.array(mark(f, "unresolved")))
+            F.when(is_declared(f), F.array(edge(column, f, "direct")))
+            .when(F.size(behind) > 0, F.transform(behind, lambda b: edge(column, b, "collapsed")))
+            .otherwise(F.array(edge(column, f, "unresolved")))
         )
 
-    entries = outputs.select("dataset", "declared", "fields", F.explode("fields").alias("column_name", "entry"))
+    def of_column(entry: Column) -> Column:
+        return F.flatten(F.transform(entry["value"]["inputFields"], lambda f: of_source(entry["key"], f)))
+
+    edges = F.flatten(F.transform(F.map_entries("fields"), of_column))
     return (
-        entries.select(
-            "dataset", "column_name", F.inline(F.flatten(F.transform("entry.inputFields", resolved)))
+        _outputs(events, aliases)
+        .select("dataset", F.inline(edges))
+        .groupBy(
+            "dataset",
+            "column_name",
+            dataset_id(F.col("namespace"), F.col("name"), aliases).alias("src_dataset"),
+            "src_column",
+            "status",
         )
-        .groupBy("dataset", "column_name", "src_dataset", "src_column", "status")
         .agg(F.count(F.lit(1)).alias("n_events"))
     )
 

@@ -51,14 +51,15 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*[plain(f) for f in df.schema.fields])
 
 
-def _detail(spark: SparkSession, folder: str) -> DataFrame:
-    disruptions = views.flight_disruptions(b.disruption_events(spark, folder), b.flights(spark, folder))
+def _detail(spark: SparkSession, folder: str, **only: bool) -> DataFrame:
+    disruptions = views.flight_disruptions(b.disruption_events(spark, folder, **only), b.flights(spark, folder))
     return views.crew_disruption_detail(disruptions, b.crew_members(spark, folder))
 
 
 def _summary(spark: SparkSession, folder: str) -> DataFrame:
+    events = b.disruption_events(spark, folder, open_crew_only=True)
     return summary.disruption_summary(
-        b.disruption_events(spark, folder), b.flights(spark, folder), b.crew_members(spark, folder), b.AS_OF, b.RUN_TS
+        events, b.flights(spark, folder), b.crew_members(spark, folder), b.AS_OF, b.RUN_TS
     )
 
 
@@ -80,7 +81,7 @@ def crew_disruption_detail(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def staging_filter(spark: SparkSession, folder: str) -> DataFrame:
-    return comparable(summary.staging(_detail(spark, folder)))
+    return comparable(summary.staging(_detail(spark, folder, open_crew_only=True)))
 
 
 def disruption_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -129,9 +130,8 @@ def email_validity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ensured_columns(spark: SparkSession, folder: str) -> DataFrame:
-    old = summary.summarize_events(
-        b.disruption_events(spark, folder), b.flights(spark, folder), b.crew_members(spark, folder)
-    ).select("flight_number", "flight_status", "total_delay_mins")
+    events = b.disruption_events(spark, folder, open_crew_only=True)
+    old = summary.summarize_events(events, b.flights(spark, folder), b.crew_members(spark, folder)).select("flight_number", "flight_status", "total_delay_mins")
     return ensure_columns(
         old, {"risk_flag": ("string", "NORMAL"), "risk_reason": ("string", None), "flight_status": ("string", "?")}
     )
@@ -144,7 +144,8 @@ def summary_upsert(spark: SparkSession, folder: str) -> DataFrame:
     keys = ["summary_date", "flight_number"]
     first = summary.disruption_summary(b.first_load_events(events), flights, crew, b.AS_OF, b.RUN_TS)
     target = merge.assign_ids(first, keys, "summary_id")
-    second = summary.disruption_summary(events, b.second_load_flights(flights), crew, b.AS_OF, SECOND_RUN_TS)
+    open_events = b.disruption_events(spark, folder, open_crew_only=True)
+    second = summary.disruption_summary(open_events, b.second_load_flights(flights), crew, b.AS_OF, SECOND_RUN_TS)
     last_id = target.agg(F.max("summary_id")).scalar()
     merged = merge.upsert_rows(target, second, keys, list(merge.SUMMARY_UPDATES), "summary_id", last_id)
     return comparable(merged)

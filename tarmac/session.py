@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # larger generated methods are not compiled by the JVM; the split form is faster
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
 }
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tarmac.functions.choose import first_match
 from tarmac.functions.time import add_millis, iso_micros, iso_seconds, timestamp_lit
 from tarmac.operators.lineage_data import FACET_TYPES
-from tarmac.sources.lineage_events import event_schema
+from tarmac.sources.lineage_events import SCHEDULER_FACET, event_schema
 
 AS_OF = dt.date(2020, 6, 15)
 RUN_TS = dt.datetime(2020, 6, 15, 12, 0, 0)
@@ -87,8 +87,16 @@ def flights(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def disruption_events(spark: SparkSession, folder: str) -> DataFrame:
-    """One event per order line. (order, line number) repeats, so event ids repeat as well."""
+def disruption_events(spark: SparkSession, folder: str, *, open_crew_only: bool = False) -> DataFrame:
+    """One event per order line. (order, line number) repeats, so event ids repeat as well.
+
+    ``open_crew_only`` says the caller keeps unresolved crew events only. The same condition is then also
+    put on the raw columns, because one on computed columns does not reach the parquet reader.
+    """
+    lines = star_table(spark, folder, "lineitem")
+    if open_crew_only:
+        unresolved = (F.col("l_linestatus") != "F") | F.col("l_linestatus").isNull() | F.col("l_shipdate").isNull()
+        lines = lines.filter(F.col("l_returnflag").isin("R", "A") & unresolved)
     flag, quantity = F.col("l_returnflag"), F.col("l_quantity")
     severity = first_match(
         [(quantity > 47, F.lit("CRITICAL")), (quantity > 38, F.lit("HIGH")), (quantity > 15, F.lit("MEDIUM"))],
@@ -97,7 +105,7 @@ def disruption_events(spark: SparkSession, folder: str) -> DataFrame:
     kind = first_match(
         [(flag == "R", F.lit("CREW_SICK")), (flag == "A", F.lit("CREW_TIMEOUT"))], F.lit("WEATHER")
     )
-    return star_table(spark, folder, "lineitem").select(
+    return lines.select(
         (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("disruption_id"),
         F.col("l_orderkey").alias("flight_id"),
         F.when(flag != "N", F.col("l_suppkey")).alias("crew_id"),
@@ -199,17 +207,15 @@ def _columns(number: Column, as_writer: Column) -> Column:
     """Schema of table ``number``. Writers know one more column of every third table and call the second
     column of every fifth table a text."""
 
-    def column(position: Column) -> Column:
-        usual = _pick(tuple(FACET_TYPES), position + number)
-        changed = as_writer & (position == 1) & (number % 5 == 0)
-        return F.struct(
-            F.concat(F.lit("c_"), position.cast("string")).alias("name"),
-            F.when(changed, F.lit("text")).otherwise(usual).alias("type"),
-        )
+    def column(position: int) -> Column:
+        facet_type = _pick(tuple(FACET_TYPES), number + position)
+        if position == 1:
+            facet_type = F.when(as_writer & (number % 5 == 0), F.lit("text")).otherwise(facet_type)
+        return F.struct(F.lit(f"c_{position}").alias("name"), facet_type.alias("type"))
 
-    base = F.transform(F.sequence(F.lit(0).cast("bigint"), number % 4 + 2), column)
+    usual = F.slice(F.array(*[column(position) for position in range(6)]), 1, (number % 4 + 3).cast("int"))
     extra = F.array(F.struct(F.lit("c_new").alias("name"), F.lit("text").alias("type")))
-    return F.when(as_writer & (number % 3 == 0), F.concat(base, extra)).otherwise(base)
+    return F.when(as_writer & (number % 3 == 0), F.concat(usual, extra)).otherwise(usual)
 
 
 def event_documents(events: DataFrame) -> DataFrame:
@@ -218,6 +224,9 @@ def event_documents(events: DataFrame) -> DataFrame:
     A run reads the tables ``user_id`` and ``props.k`` and writes table ``user_id div 2``, under one of two
     addresses of the same database. Ends carry column lineage, partly through helper datasets.
     """
+    schema_of = event_schema()
+    lineage_type = schema_of["inputs"].dataType.elementType["facets"].dataType["columnLineage"].dataType
+    engine_type = schema_of["run"].dataType["facets"].dataType["processing_engine"].dataType
     number = F.floor(F.col("event_id") / 2)
     kind = F.col("event_type")
     is_start = F.col("event_id") % 2 == 0
@@ -252,13 +261,16 @@ def event_documents(events: DataFrame) -> DataFrame:
     )
 
     def dataset(n: Column, as_writer: bool, fields: Column | None = None) -> Column:
-        known = F.struct(fields.alias("fields")) if fields is not None else F.lit(None)
+        if fields is None:
+            known = F.lit(None).cast(lineage_type)
+        else:
+            known = F.when(~is_start, F.struct(fields.alias("fields")))
         return F.struct(
             host.alias("namespace"),
             table(n).alias("name"),
             F.struct(
                 F.struct(_columns(n, F.lit(as_writer)).alias("fields")).alias("schema"),
-                (known if fields is None else F.when(~is_start, known)).alias("columnLineage"),
+                known.alias("columnLineage"),
             ).alias("facets"),
         )
 
@@ -299,21 +311,26 @@ def event_documents(events: DataFrame) -> DataFrame:
         "eventTime": iso_micros(F.col("ts")),
         "eventType": state,
         "producer": F.lit("https://scheduler.example.com"),
-        "schemaURL": F.lit(None),
-        "job": F.struct(F.lit("scheduler").alias("namespace"), job.alias("name"), F.lit(None).alias("facets")),
+        "schemaURL": F.lit(None).cast("string"),
+        "job": F.struct(
+            F.lit("scheduler").alias("namespace"),
+            job.alias("name"),
+            F.lit(None).cast(schema_of["job"].dataType["facets"].dataType).alias("facets"),
+        ),
         "run": F.struct(
             run_id.alias("runId"),
             F.struct(
                 F.struct(started.alias("nominalStartTime"), started.alias("nominalEndTime")).alias("nominalTime"),
                 parent.alias("parent"),
-                F.lit(None).alias("processing_engine"),
-                F.when(number % 5 != 0, scheduler).alias("scheduler"),
+                F.lit(None).cast(engine_type).alias("processing_engine"),
+                F.when(number % 5 != 0, scheduler).alias(SCHEDULER_FACET),
             ).alias("facets"),
         ),
         "inputs": F.array(dataset(F.col("user_id"), False), dataset(second, False)),
         "outputs": F.array(dataset(F.floor(F.col("user_id") / 2), True, lineage)),
     }
-    return events.select(*[fields[f.name].cast(f.dataType).alias(f.name) for f in event_schema().fields])
+    # built with the exact types: a cast of a whole struct would keep the optimizer from pruning its fields
+    return events.select(*[fields[name].alias(name) for name in schema_of.names])
 
 
 def lineage_events(spark: SparkSession, folder: str) -> DataFrame:
