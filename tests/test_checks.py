@@ -1,0 +1,69 @@
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from tarmac import schemas
+from tarmac.operators import constraints, quality
+from tests import fixtures as fx
+
+
+def as_set(df):
+    return {tuple(r) for r in df.collect()}
+
+
+def test_clean_tables_have_no_violations(spark):
+    flights, events, crew = fx.flights(spark), fx.events(spark), fx.crew(spark)
+    parents = {"flights": flights, "crew_members": crew}
+    for table, df in ((schemas.FLIGHTS, flights), (schemas.DISRUPTION_EVENTS, events), (schemas.CREW_MEMBERS, crew)):
+        assert constraints.violations(table, df, parents).count() == 0
+
+
+def test_each_violation_is_found(spark):
+    flights, events, crew = fx.flights(spark), fx.events(spark), fx.crew(spark)
+    broken = events.withColumns(
+        {
+            "flight_id": F.when(F.col("disruption_id") == 1, 99).otherwise(F.col("flight_id")),
+            "crew_id": F.when(F.col("disruption_id") == 2, 55).otherwise(F.col("crew_id")),
+            "severity": F.when(F.col("disruption_id") == 3, F.lit("CRITICALLY BAD")).otherwise(F.col("severity")),
+            "disruption_type": F.when(F.col("disruption_id") != 4, F.col("disruption_type")),
+        }
+    ).union(events.filter("disruption_id = 5"))
+    found = constraints.violations(schemas.DISRUPTION_EVENTS, broken, {"flights": flights, "crew_members": crew})
+    assert as_set(found) == {
+        ("disruption_events unique disruption_id", "5", 2),
+        ("disruption_events.flight_id in flights", "99", 1),
+        ("disruption_events.crew_id in crew_members", "55", 1),
+        ("disruption_events.severity width", None, 1),
+        ("disruption_events.disruption_type not null", None, 1),
+    }
+
+
+def test_null_keys_pass(spark):
+    df = spark.createDataFrame([(None,), (None,), (1,)], "k int")
+    assert constraints.duplicate_keys(df, ["k"], "k").count() == 0
+    assert constraints.orphans(df, "k", df.filter("k = 1"), "k", "k").count() == 0
+
+
+def test_score(spark):
+    crew = fx.crew(spark)
+    checks = {"email": F.col("email").isNotNull(), "at": F.col("email").contains("@")}
+    row = quality.quality_score(crew, checks, "crew").first()
+    assert (row["n_rows"], row["n_checks"], row["n_failed"], row["score"], row["meets_sla"]) == (10, 20, 3, 0.85, False)
+    assert quality.quality_score(crew.limit(0), checks, "crew").first()["score"] == 1.0
+    assert quality.quality_score(crew, {"id": F.col("crew_id") > 0}, "crew").first()["meets_sla"]
+
+
+def test_sample_is_repeatable_and_near_its_share(spark):
+    df = spark.range(20000).withColumnRenamed("id", "k")
+    once = as_set(quality.sample_rows(df, ["k"], 20))
+    assert once == as_set(quality.sample_rows(df.repartition(5), ["k"], 20))
+    assert 3700 < len(once) < 4300
+    assert quality.sample_rows(df, ["k"], 100).count() == 20000 and quality.sample_rows(df, ["k"], 0).count() == 0
+
+
+def test_profile(spark):
+    got = quality.column_profile(fx.crew(spark), ["base_airport", "email", "max_duty_hours"], "crew")
+    shown = {r["column_name"]: (r["n_rows"], r["n_nulls"], r["n_distinct"], r["min_value"], r["max_value"]) for r in got.collect()}
+    assert shown["base_airport"] == (10, 0, 4, "JFK", "SFO")
+    assert shown["email"][:3] == (10, 1, 9)
+    assert shown["max_duty_hours"] == (10, 0, 2, str(Decimal("12.0")), str(Decimal("14.0")))
