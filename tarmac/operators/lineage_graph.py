@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.session import ensure_checkpoint_dir
+from tarmac.session import stored
 
 HOPS_PER_ROUND = 4
 
@@ -16,28 +16,21 @@ def reachable(edges: DataFrame, seeds: DataFrame, *, upstream: bool = True) -> D
     """Nodes reachable from any seed, with the fewest hops to one; the seeds themselves have 0.
 
     ``edges`` holds (src, dst), ``seeds`` holds (node). The result has one row per node, so it stays
-    linear in the graph. Each round follows a few hops, keeps nodes not seen before and checkpoints
-    them, which ends the growth of the plan and survives lost executors. Cycles end by themselves.
+    linear in the graph. Each round follows a few hops, keeps nodes not seen before and stores them in
+    the shared folder. Cycles end by themselves.
     """
-    spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
     here, there = ("dst", "src") if upstream else ("src", "dst")
     links = edges.select(F.col(here).alias("node"), F.col(there).alias("next")).filter("node <> next").distinct()
-    links = links.checkpoint()
-    seen = seeds.select("node", F.lit(0).alias("hops")).distinct().checkpoint()
+    links = stored(links, "links")
+    seen = stored(seeds.select("node", F.lit(0).alias("hops")).distinct(), "seeds")
     edge_of_search, depth = seen, 0
     while not edge_of_search.isEmpty():
         found, step = [], edge_of_search
         for _ in range(HOPS_PER_ROUND):
             step = step.join(links, "node").groupBy(F.col("next").alias("node")).agg((F.min("hops") + 1).alias("hops"))
             found.append(step)
-        fresh = (
-            reduce(DataFrame.unionByName, found)
-            .groupBy("node")
-            .agg(F.min("hops").alias("hops"))
-            .join(seen.select("node"), "node", "left_anti")
-            .checkpoint()
-        )
+        nearest = reduce(DataFrame.unionByName, found).groupBy("node").agg(F.min("hops").alias("hops"))
+        fresh = stored(nearest.join(seen.select("node"), "node", "left_anti"), "reached")
         seen = seen.unionByName(fresh)
         depth += HOPS_PER_ROUND
         # nearer new nodes were already followed in this round

@@ -38,6 +38,8 @@ def invalid_email(customers: DataFrame) -> DataFrame:
 def email_validity(texts: DataFrame, key: str, text: str) -> DataFrame:
     """Every blank-separated token with an ``@`` in a text column, with the result of the e-mail check."""
     tokens = F.filter(F.split(F.col(text), r"[ \t\r\n]+"), lambda token: token.contains("@"))
-    return texts.select(key, F.explode(tokens).alias("token")).withColumn(
-        "is_valid", email_is_valid(F.col("token"))
+    return (
+        texts.filter(F.col(text).contains("@"))
+        .select(key, F.explode(tokens).alias("token"))
+        .withColumn("is_valid", email_is_valid(F.col("token")))
     )

@@ -30,7 +30,8 @@ def assign_ids(df: DataFrame, keys: list[str], id_column: str, after: Column | i
     """Number the rows ``after + 1, after + 2, …`` without gaps and without sorting them in one task.
 
     ``keys`` must identify a row. The order is that of the key's digest, so a repeated run gives the same
-    ids. Each bucket is numbered on its own; the offsets come from at most ``ID_BUCKETS`` counts.
+    ids. Each bucket is numbered on its own; the offsets come from at most ``ID_BUCKETS`` counts. ``df`` is
+    read twice, so it should be stored if it is costly.
     """
     key_text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
     bucketed = df.withColumn("id_bucket", F.substring(F.md5(key_text), 1, 3))

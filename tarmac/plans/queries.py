@@ -25,7 +25,7 @@ from tarmac.operators import (
     workload,
 )
 from tarmac.operators.conform import conform, ensure_columns
-from tarmac.session import scratch_path
+from tarmac.session import scratch_path, stored
 from tarmac.sources import bindings as b
 from tarmac.streaming.run_pairing import pair_runs, write_available
 
@@ -89,7 +89,8 @@ def disruption_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def summary_report(spark: SparkSession, folder: str) -> DataFrame:
-    numbered = merge.assign_ids(_summary(spark, folder), ["summary_date", "flight_number"], "summary_id")
+    source = stored(_summary(spark, folder), "summary")
+    numbered = merge.assign_ids(source, ["summary_date", "flight_number"], "summary_id")
     return comparable(summary.summary_report(conform(numbered, schemas.DISRUPTION_SUMMARY.widened())))
 
 
@@ -143,11 +144,11 @@ def summary_upsert(spark: SparkSession, folder: str) -> DataFrame:
     events = b.disruption_events(spark, folder)
     keys = ["summary_date", "flight_number"]
     first = summary.disruption_summary(b.first_load_events(events), flights, crew, b.AS_OF, b.RUN_TS)
-    target = merge.assign_ids(first, keys, "summary_id")
+    target = stored(merge.assign_ids(stored(first, "first"), keys, "summary_id"), "target")
     open_events = b.disruption_events(spark, folder, open_crew_only=True)
     second = summary.disruption_summary(open_events, b.second_load_flights(flights), crew, b.AS_OF, SECOND_RUN_TS)
     last_id = target.agg(F.max("summary_id")).scalar()
-    merged = merge.upsert_rows(target, second, keys, list(merge.SUMMARY_UPDATES), "summary_id", last_id)
+    merged = merge.upsert_rows(target, stored(second, "second"), keys, list(merge.SUMMARY_UPDATES), "summary_id", last_id)
     return comparable(merged)
 
 

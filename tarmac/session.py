@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # larger generated methods are not compiled by the JVM; the split form is faster
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # do not inspect the Python stack for every expression that is built
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
 }
 
@@ -57,12 +59,17 @@ def shared_dir(spark: SparkSession) -> str:
     return fallback
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable, preferring the folder the cluster names."""
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder name below the shared folder, unique for every call."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to a new folder below the shared folder, and read from there.
+
+    Computes them once for several readers, ends the growth of the plan, survives lost executors, and lets
+    the planner see the real size.
+    """
+    place = scratch_path(df.sparkSession, label)
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)

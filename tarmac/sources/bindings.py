@@ -52,7 +52,8 @@ def star_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _pick(values: tuple[str, ...], position: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (position % len(values) + 1).cast("int"))
+    texts = F.expr(f"array({', '.join(repr(v) for v in values)})")
+    return F.element_at(texts, (position % len(values) + 1).cast("int"))
 
 
 def flights(spark: SparkSession, folder: str) -> DataFrame:
