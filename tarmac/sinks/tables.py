@@ -17,19 +17,34 @@ from pyspark.sql import functions as F
 from tarmac.operators.conform import conform
 from tarmac.operators.constraints import require_unique
 from tarmac.operators.merge import upsert_rows
-from tarmac.schemas import Table
+from tarmac.schemas import NOW, Table
 
 
 def ensure_table(spark: SparkSession, table: Table, name: str, location: str) -> None:
-    """Create the table if it is missing."""
+    """Create the table if it is missing; add columns it lacks, older rows show their default."""
     partitioned = f" PARTITIONED BY ({', '.join(table.partition_by)})" if table.partition_by else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({table.ddl()}) USING parquet{partitioned} LOCATION '{location}/empty'"
+        f"CREATE TABLE IF NOT EXISTS {name} ({table.ddl()}) USING parquet{partitioned} "
+        f"LOCATION '{_folder(location, name, 'first')}'"
     )
+    present = spark.table(name).columns
+    for column in table.columns:
+        if column.name not in present:
+            constant = column.default is not None and column.default is not NOW
+            default = f" DEFAULT {_sql_literal(column.default)}" if constant else ""
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS (`{column.name}` {column.type}{default})")
 
 
-def _new_folder(location: str) -> str:
-    return f"{location.rstrip('/')}/load-{uuid.uuid4().hex}"
+def _folder(location: str, name: str, version: str) -> str:
+    return f"{location.rstrip('/')}/{name.replace('.', '_')}-{version}"
+
+
+def _new_folder(location: str, name: str) -> str:
+    return _folder(location, name, uuid.uuid4().hex)
+
+
+def _sql_literal(value: object) -> str:
+    return f"'{value}'"
 
 
 def append(df: DataFrame, table: Table, name: str) -> None:
@@ -41,7 +56,7 @@ def full_refresh(df: DataFrame, table: Table, name: str, location: str) -> str:
     """Replace all rows of an unpartitioned table in one step; returns the folder now in use."""
     spark = df.sparkSession
     ensure_table(spark, table, name, location)
-    folder = _new_folder(location)
+    folder = _new_folder(location, name)
     conform(df, table).write.parquet(folder)
     rows = spark.read.schema(table.schema).parquet(folder)
     for key in table.unique:
@@ -69,7 +84,7 @@ def upsert(
     spark = source.sparkSession
     ensure_table(spark, table, name, location)
     (part,) = table.partition_by
-    folder = _new_folder(location)
+    folder = _new_folder(location, name)
 
     staged_at = f"{folder}-source"
     source.write.parquet(staged_at)
@@ -93,10 +108,6 @@ def upsert(
     spark.catalog.refreshTable(name)
 
 
-def _sql_literal(value: object) -> str:
-    return f"'{value}'"
-
-
 def reset(spark: SparkSession, views: Sequence[str], tables: Sequence[str]) -> None:
     """Drop views, then tables, where they exist; safe to run again."""
     for view in views:

@@ -80,6 +80,26 @@ def test_summary_load_twice_and_after_changes(spark, place):
     assert sorted(r[0] for r in both.select("summary_id").collect()) == list(range(1, 10))
 
 
+def test_older_summary_table_gets_the_risk_columns(spark, place):
+    old = [c for c in schemas.DISRUPTION_SUMMARY.columns if not c.name.startswith("risk_")]
+    spark.sql(
+        f"CREATE TABLE disruption_summary ({', '.join(f'{c.name} {c.type}' for c in old)}) "
+        f"USING parquet PARTITIONED BY (summary_date) LOCATION '{place}/old'"
+    )
+    row = spark.sql(
+        "SELECT 7 summary_id, 'UA101' flight_number, 'AAA' origin, 'BBB' destination, 'B737' aircraft_type, "
+        "'DELAYED' flight_status, 1 passenger_count, 1 total_crew_disruptions, 0 critical_count, 0 high_count, "
+        "0 medium_count, 1 low_count, 5 total_delay_mins, CAST(1 AS DECIMAL(12,2)) total_cost_estimate, "
+        "1 affected_crew_count, TIMESTAMP_NTZ'2026-04-01 00:00:00' processed_at, DATE'2026-04-01' summary_date"
+    )
+    row.write.insertInto("disruption_summary")
+    events, flights, crew = fx.events(spark), fx.flights(spark), fx.crew(spark)
+    loads.load_disruption_summary(events, flights, crew, place, fx.AS_OF, fx.RUN_TS)
+    shown = {r["summary_id"]: (r["flight_number"], r["risk_flag"], r["risk_reason"]) for r in spark.table("disruption_summary").collect()}
+    assert shown[7] == ("UA101", "NORMAL", None)
+    assert sorted(shown) == [7, 8, 9, 10, 11] and len(spark.table("disruption_summary").columns) == 19
+
+
 def test_summary_load_refuses_a_key_twice(spark, place):
     events, flights, crew = fx.events(spark), fx.flights(spark), fx.crew(spark)
     loads.load_disruption_summary(events, flights, crew, place, fx.AS_OF, fx.RUN_TS)
