@@ -103,7 +103,7 @@ def _totals(name: str, events: str, flights: str) -> str:
 
 def _risk(name: str, totals: str, run_ts: str) -> str:
     return f"""{name} AS (
-  SELECT DATE '2020-06-15' AS summary_date, t.*,
+  SELECT '2020-06-15' AS summary_date, t.*,
          CASE WHEN critical_count > 0 THEN 'CRITICAL'
               WHEN high_count > 0 OR total_delay_mins >= 240 OR affected_crew_count > 1 THEN 'HIGH'
               WHEN medium_count > 0 OR total_delay_mins >= 60 THEN 'MEDIUM' ELSE 'NORMAL' END AS risk_flag,

@@ -39,11 +39,13 @@ PROFILE_COLUMNS = ["first_name", "last_name", "date_of_birth", "email", "address
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Decimals as doubles and arrays as text, so that other engines print the same values."""
+    """Decimals as doubles, dates and arrays as text, so that other engines print the same values."""
 
     def plain(field: T.StructField) -> F.Column:
         if isinstance(field.dataType, T.DecimalType):
             return F.col(field.name).cast("double").alias(field.name)
+        if isinstance(field.dataType, T.DateType):
+            return F.col(field.name).cast("string").alias(field.name)
         if isinstance(field.dataType, T.ArrayType):
             return F.array_join(field.name, "|").alias(field.name)
         return F.col(field.name)
