@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,14 +36,9 @@ def build_session(master: str | None = None, app_name: str = "tarmac", **setting
     return builder.getOrCreate()
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that every executor can reach: the session's ``spark.checkpoint.dir``.
-
-    Only a single-machine session may fall back to a temporary folder.
+    """Folder that every executor can reach: ``spark.checkpoint.dir`` of the session, or the folder given to
+    ``setCheckpointDir``. Where neither is set, a folder below the warehouse, which is shared as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -52,11 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
     context_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if context_dir.isDefined():
         return context_dir.get()
-    if not _is_local(spark):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="tarmac-checkpoint-")
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -72,4 +62,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     place = scratch_path(df.sparkSession, label)
     df.write.parquet(place)
-    return df.sparkSession.read.schema(df.schema).parquet(place)
+    kept = df.sparkSession.read.schema(df.schema).parquet(place)
+    kept.scratch_place = place
+    return kept
+
+
+def remove_path(spark: SparkSession, place: str) -> None:
+    """Delete a folder through Spark's own file systems."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what ``stored`` wrote, once nothing reads it any more."""
+    remove_path(df.sparkSession, df.scratch_place)

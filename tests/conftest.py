@@ -18,6 +18,7 @@ def spark():
         spark__driver__memory="8g",
         spark__ui__showConsoleProgress="false",
         spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="tarmac-warehouse-"),
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="tarmac-checkpoint-"),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
