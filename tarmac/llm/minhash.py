@@ -146,6 +146,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = sketched.filter("doc_id IS NOT NULL AND n_shingles > 0")
     sets = known.groupBy("d0", "d1").agg(F.min("doc_id").alias("node"))
     firsts = sets.select("d0", "d1", F.col("node").alias("doc_id"))
+    # ids with several texts tie the nodes of these together
+    several = known.groupBy("doc_id").agg(F.min("d0").alias("p"), F.max("d0").alias("q")).filter("p < q").select("doc_id")
+    ties = stored(
+        known.join(several, "doc_id", "left_semi").join(sets, ["d0", "d1"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b")),
+        "ties",
+    )
     nodes = known.join(firsts, ["d0", "d1", "doc_id"]).withColumnRenamed("doc_id", "node")
 
     banded = nodes.select(F.explode("bands").alias("key"), "node")
@@ -164,7 +170,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     best = stars.groupBy("node").agg(F.max(F.struct(estimate("sketch", "other").alias("e"), "pivot")).alias("best"))
     tried = stored(best.select(F.col("node").alias("a"), F.col("best.pivot").alias("b")), "tried")
     links = stored(_confirm(tried, texts), "links")
-    parts = stored(connected_components(links), "parts")
+    parts = stored(connected_components(links.unionByName(ties)), "parts")
 
     # buckets that still hold several components: pairs between those
     placed = members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
@@ -181,7 +187,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = _confirm(untried, texts)
     steps = parts.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     whole = stored(connected_components(steps.unionByName(more)), "parts")
-    for frame in (traits, texts, members, tried, links, parts, open_rows):
+    for frame in (traits, texts, members, tried, links, ties, parts, open_rows):
         discard(frame)
 
     of_set = sets.join(whole, "node", "left").select("d0", "d1", F.coalesce("component", "node").alias("of_set"))
