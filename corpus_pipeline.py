@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.llm import decontam, minhash, mixing, token_files, toxicity
-from tarmac.llm.frames import table
+from tarmac.llm.frames import on_workers, table
 from tarmac.llm.queries import TOKENIZER
 from tarmac.session import scratch_path, stored
 
@@ -54,6 +54,7 @@ STAGES = [
 ORACLE_SQL = None
 
 
+@on_workers
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, each on the written result of the one before."""
     docs = table(spark, sf_dir, "documents")

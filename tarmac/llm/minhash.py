@@ -1,8 +1,9 @@
 """Near-duplicate documents: MinHash bands, odd sketches, links confirmed on whole shingle sets.
 
-Each document is read once. From its set of five-word shingles come a 128-bit digest of the set, MinHash
-samples (grouped into band keys) and an odd sketch: every sample flips one bit of a bitmap, so that the XOR of
-two bitmaps counts the samples in which they differ. Documents with equal sets collapse into one node. Nodes
+Each document is read once. From its set of five-word shingles come a 128-bit digest of the set, band keys from
+MinHash samples of 128 functions, and an odd sketch: the least value in each of 1024 ranges of one hash function (up to
+1024 more MinHash samples; of a small set nearly all its values) flips one bit of a bitmap, so that
+the XOR of two bitmaps counts the samples in which two sets differ. Documents with equal sets collapse into one node. Nodes
 that share a band key are candidates; the popcount of the XOR drops those that cannot reach the threshold,
 whole texts decide about the rest.
 
@@ -11,7 +12,8 @@ buckets that still hold several components are searched further, between compone
 size test inside the join. What has not been compared then is either in one component already or excluded.
 
 With 128 samples in 32 bands of 4, a pair at exactly 0.75 is missed with probability 5e-6 and more similar ones far
-less often. The sketch test keeps estimates from 0.40 on, five standard deviations below 0.75.
+less often. The sketch test allows as many differing samples as sets at 0.75 have, and 4.5 standard deviations more: it drops
+one in 300,000 of the pairs at exactly 0.75 and keeps few below 0.65.
 """
 
 from __future__ import annotations
@@ -31,8 +33,9 @@ SHINGLE = 5
 PERCENT = 75
 SAMPLES = 128
 BAND_ROWS = 4
-SKETCH_BITS = 512
-LEAST_ESTIMATE = 0.40
+RANGES = 1024
+SKETCH_BITS = 2048
+DEVIATIONS = 4.5
 
 _random = np.random.Generator(np.random.PCG64(4))
 _FACTOR = _random.integers(1, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -40,7 +43,7 @@ _SHIFT = _random.integers(1, 1 << 63, SAMPLES, dtype=np.uint64)
 _BAND = _random.integers(1, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BLOCK = 512
 
-SKETCHED = "doc_id long, n_shingles long, d0 long, d1 long, bands array<long>, sketch array<long>"
+SKETCHED = "doc_id long, n_shingles long, n_samples long, d0 long, d1 long, bands array<long>, sketch array<long>"
 
 
 def minhash(values: np.ndarray) -> np.ndarray:
@@ -59,13 +62,12 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
     return mix(parts)
 
 
-def odd_sketch(samples: np.ndarray) -> np.ndarray:
-    """(rows, SKETCH_BITS / 64) bitmaps: the parity of the samples that fall on each bit."""
-    rows = len(samples)
-    place = mix(samples + _BAND) & np.uint64(SKETCH_BITS - 1)
-    flat = np.arange(rows)[:, None] * SKETCH_BITS + place.astype(np.int64)
-    odd = np.bincount(flat.ravel(), minlength=rows * SKETCH_BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.uint64).reshape(rows, -1)
+def odd_sketch(values: np.ndarray) -> tuple[int, np.ndarray]:
+    """Number of samples of a sorted set of hashes, and the bitmap of their parities as 64-bit numbers."""
+    part = values >> np.uint64(64 - RANGES.bit_length() + 1)
+    least = values[np.concatenate([[True], part[1:] != part[:-1]])] if len(values) else values
+    odd = np.bincount((mix(least) & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return len(least), np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
 def sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,14 +77,16 @@ def sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             values, at = shingle_hashes(*word_hashes(data, offsets), SHINGLE)
             rows = len(offsets) - 1
             size, digest = np.zeros(rows, np.int64), np.zeros((rows, 2), np.uint64)
-            samples = np.zeros((rows, SAMPLES), np.uint64)
+            samples, n_samples = np.zeros((rows, SAMPLES), np.uint64), np.zeros(rows, np.int64)
+            sketch = np.zeros((rows, SKETCH_BITS // 64), np.uint64)
             for i in range(rows):
                 own = np.unique(values[at[i] : at[i + 1]])
                 size[i] = len(own)
                 digest[i] = own.sum(dtype=np.uint64), mix(own ^ _SHIFT[0]).sum(dtype=np.uint64)
                 samples[i] = minhash(own)
+                n_samples[i], sketch[i] = odd_sketch(own)
             full = size > 0
-            keys, sketch = band_keys(samples), odd_sketch(samples)
+            keys = band_keys(samples)
 
             def lists(matrix: np.ndarray, full: np.ndarray = full) -> pa.Array:
                 ends = np.concatenate([[0], np.cumsum(full * matrix.shape[1])]).astype(np.int32)
@@ -92,12 +96,13 @@ def sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 [
                     batch.column(0).slice(first, rows).cast(pa.int64()),
                     pa.array(size),
+                    pa.array(n_samples),
                     pa.array(signed(digest[:, 0].copy())),
                     pa.array(signed(digest[:, 1].copy())),
                     lists(keys),
                     lists(sketch),
                 ],
-                ["doc_id", "n_shingles", "d0", "d1", "bands", "sketch"],
+                ["doc_id", "n_shingles", "n_samples", "d0", "d1", "bands", "sketch"],
             )
 
 
@@ -112,16 +117,31 @@ def confirm_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield batch.select([0, 1]).filter(pa.array(linked))
 
 
-def estimate(left: str, right: str) -> Column:
-    """Estimated similarity of two odd sketches; NULL where they differ in half of all bits or more."""
-    differing = " + ".join(f"bit_count({left}[{i}] ^ {right}[{i}])" for i in range(SKETCH_BITS // 64))
-    rest = F.lit(1.0) - F.lit(2.0 / SKETCH_BITS) * F.expr(differing)
-    return F.when(rest > 0, F.lit(1.0) + F.lit(SKETCH_BITS / (4 * SAMPLES)) * F.log(rest))
+def differing_samples(left: str, right: str) -> Column:
+    """Estimated number of samples in one of two sketched sets only; NULL where half of all bits differ."""
+    bits = " + ".join(f"bit_count({left}[{i}] ^ {right}[{i}])" for i in range(SKETCH_BITS // 64))
+    rest = F.lit(1.0) - F.lit(2.0 / SKETCH_BITS) * F.expr(bits)
+    return F.when(rest > 0, F.lit(-SKETCH_BITS / 2) * F.log(rest))
 
 
-def _possible(n: str, m: str, sketch: str, other: str) -> Column:
+def allowed_difference(n: Column, m: Column, samples: Column) -> Column:
+    """The most differing samples that a pair of sets of sizes n and m at the threshold shows.
+
+    A range is empty with probability exp(-load); two sets agree in it if the least value of their union is common.
+    """
+    j = PERCENT / 100
+    load = (n + m) / F.lit(2.0 * RANGES)
+    filled = F.lit(1.0) - F.exp(-load)
+    expected = samples * (F.lit(1.0) - F.lit(j) * (F.lit(1.0) - F.exp(-load * F.lit(2 / (1 + j)))) / filled)
+    sampling = F.lit(2.0) * expected * filled
+    folding = F.lit(SKETCH_BITS / 4) * (F.exp(expected * F.lit(4 / SKETCH_BITS)) - 1) - expected
+    return expected + F.lit(DEVIATIONS) * F.sqrt(sampling + folding) + 1
+
+
+def _possible(n: str, m: str, s: str, t: str, sketch: str, other: str) -> Column:
     sizes = F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT
-    return sizes & (estimate(sketch, other) >= LEAST_ESTIMATE)
+    allowed = allowed_difference(F.col(n), F.col(m), F.col(s) + F.col(t))
+    return sizes & (differing_samples(sketch, other) <= allowed)
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -159,15 +179,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = buckets.filter("pivot < last").drop("last")
     members = stored(banded.join(buckets, "key").distinct(), "members")
     wanted = members.select("node").distinct()
-    traits = stored(nodes.join(wanted, "node", "left_semi").select("node", "n_shingles", "sketch"), "traits")
+    traits = stored(nodes.join(wanted, "node", "left_semi").select("node", "n_shingles", "n_samples", "sketch"), "traits")
     texts = stored(docs.join(wanted, docs.doc_id == wanted.node, "left_semi"), "texts")
 
     # every node against the most similar first node of its buckets
-    mine = traits.toDF("node", "n", "sketch")
-    theirs = traits.toDF("pivot", "m", "other")
+    mine = traits.toDF("node", "n", "s", "sketch")
+    theirs = traits.toDF("pivot", "m", "t", "other")
     stars = members.filter("node != pivot").select("node", "pivot").distinct()
-    stars = stars.join(mine, "node").join(theirs, "pivot").filter(_possible("n", "m", "sketch", "other"))
-    best = stars.groupBy("node").agg(F.max(F.struct(estimate("sketch", "other").alias("e"), "pivot")).alias("best"))
+    stars = stars.join(mine, "node").join(theirs, "pivot").filter(_possible("n", "m", "s", "t", "sketch", "other"))
+    nearest = (-differing_samples("sketch", "other") / (F.col("s") + F.col("t"))).alias("nearest")
+    best = stars.groupBy("node").agg(F.max(F.struct(nearest, "pivot")).alias("best"))
     tried = stored(best.select(F.col("node").alias("a"), F.col("best.pivot").alias("b")), "tried")
     links = stored(_confirm(tried, texts), "links")
     parts = stored(connected_components(links.unionByName(ties)), "parts")
@@ -176,11 +197,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
     mixed = placed.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p < q").select("key")
     open_rows = stored(placed.join(mixed, "key", "left_semi").join(mine, "node"), "open")
-    other = open_rows.toDF("node2", "key", "part2", "n2", "sketch2")
+    other = open_rows.toDF("node2", "key", "part2", "n2", "s2", "sketch2")
     between = (F.col("node") > F.col("node2")) & (F.col("part") != F.col("part2"))
     crossing = open_rows.join(
         other,
-        (open_rows.key == other.key) & between & _possible("n", "n2", "sketch", "sketch2"),
+        (open_rows.key == other.key) & between & _possible("n", "n2", "s", "s2", "sketch", "sketch2"),
     )
     untried = crossing.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
     untried = untried.join(tried, ["a", "b"], "left_anti")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm import chat, decontam, embeddings, licenses, line_dedup, minhash, mixing, token_counts, token_files, toxicity
-from tarmac.llm.frames import table
+from tarmac.llm.frames import on_workers, table
 from tarmac.llm.oracle import ORACLE as ORACLE
 from tarmac.session import discard, scratch_path, stored
 
@@ -107,7 +107,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f
+    f.__name__: on_workers(f)
     for f in (
         op1_token_counts,
         op2_chat_formatting,

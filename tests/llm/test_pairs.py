@@ -93,22 +93,22 @@ def test_keep_one_of_each_keeps_all_columns(spark):
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(want)
 
 
-def test_odd_sketch_estimates_the_similarity():
-    random.seed(1)
-    for share in (0.95, 0.9, 0.8, 0.75):
-        errors = []
-        for _ in range(30):
-            common = np.array([random.getrandbits(64) for _ in range(int(400 * share))], np.uint64)
-            n = (400 - len(common)) // 2
-            own = [np.array([random.getrandbits(64) for _ in range(n)], np.uint64) for _ in range(2)]
-            sets = [np.unique(np.concatenate([common, x])) for x in own]
-            truth = len(np.intersect1d(*sets)) / len(np.union1d(*sets))
-            a, b = minhash.odd_sketch(np.stack([minhash.minhash(s) for s in sets]))
-            differing = sum(int(x).bit_count() for x in a ^ b)
-            guess = 1 + minhash.SKETCH_BITS / (4 * minhash.SAMPLES) * np.log(1 - 2 * differing / minhash.SKETCH_BITS)
-            assert guess >= minhash.LEAST_ESTIMATE
-            errors.append(guess - truth)
-        assert abs(np.mean(errors)) < 0.03
+def test_odd_sketch_estimates_the_similarity(spark):
+    random_ = np.random.default_rng(1)
+    rows, truth = [], []
+    for size in (20, 150, 1000, 8000):
+        for share in (0.95, 0.9, 6 / 7, 0.6):  # 6/7 of each set in common: similarity 0.75
+            for _ in range(40):
+                common = random_.integers(0, 1 << 63, int(size * share), dtype=np.uint64) * np.uint64(2)
+                own = [random_.integers(0, 1 << 63, size - len(common), dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in "ab"]
+                sets = [np.unique(np.concatenate([common, x])) for x in own]
+                truth.append(len(np.intersect1d(*sets)) / len(np.union1d(*sets)))
+                (s, x), (t, y) = (minhash.odd_sketch(v) for v in sets)
+                rows.append((len(rows), size, size, s, t, *(v.view(np.int64).tolist() for v in (x, y))))
+    frame = spark.createDataFrame(rows, "i long, n long, m long, s long, t long, x array<long>, y array<long>")
+    kept = {r.i for r in frame.filter(minhash._possible("n", "m", "s", "t", "x", "y")).collect()}
+    assert all(i in kept for i, j in enumerate(truth) if j >= 0.745)
+    assert not any(i in kept for i, j in enumerate(truth) if j < 0.5 and rows[i][1] > 20)
 
 
 VEC = "vec_id long, embedding array<float>, label int"
