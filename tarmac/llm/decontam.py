@@ -4,11 +4,11 @@ The test items are indexed, the training documents are the queries. Every docume
 at least one segment longer than any indexed part of an item, so that each part lies whole in some passage. Scores are BM25
 divided by the score of the part itself, so one threshold fits short and long items.
 
-Retrieval skips in two steps, as block-max WAND does, without losing anything above the threshold: first with
-the largest weight a word has in any part, then with its largest weight in each block of parts. Both bounds are
-sums over the words of a passage and are computed for all passages of a batch at once. Only (passage, block) pairs
-whose bound reaches the threshold are scored exactly. Retrieved documents are verified on word shingles of the
-whole item and the whole text.
+Retrieval skips as block-max WAND does, without losing anything above the threshold: a word's largest weight in a block of
+parts, added up over the different words of a passage, bounds the score of every part in the block. All
+passages of a batch are bounded at once: a word counts in the passages that reach it and do not hold it before,
+which is a range of passages, so running sums do. Only (passage, block) pairs whose bound reaches the threshold are
+scored exactly. Retrieved documents are verified on word shingles of the whole item and the whole text.
 
 Items are dealt into shards of bounded size; each shard's index is broadcast and all documents pass it once.
 No document is shuffled.
@@ -35,7 +35,7 @@ OVERLAP = 0.75
 SHINGLE = 5
 SEGMENT = 16
 #: Longer items are indexed in parts of about this many words.
-PART_WORDS = 64
+PART_WORDS = 32
 BLOCK = 8
 #: Bounds of one shard of the index, which is what is broadcast at once.
 SHARD_ITEMS = 512
@@ -79,9 +79,8 @@ class Index:
     shingles: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # whole item, question, answer
     vocabulary: np.ndarray  # sorted word hashes
     maybe: np.ndarray  # by the low bits of a hash: may be in the vocabulary
-    most: np.ndarray  # by word: largest weight in any part
-    block_most: np.ndarray  # by word and block
-    blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # words, their weights by part, item numbers of the parts
+    block_most: np.ndarray  # by word and block: largest weight in the block's parts
+    blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # row of each word, weights by row and part, items of the parts
     passage: int  # segments in a passage
 
 
@@ -107,27 +106,25 @@ def build_index(items: list[tuple[int, str]]) -> Index | None:
     rarity = np.log1p((len(parts) - in_parts + 0.5) / (in_parts + 0.5))
     average = ends[-1] / len(parts)
     n_blocks = -(-len(parts) // BLOCK)
-    block_most = np.zeros((len(vocabulary), n_blocks), np.float32)
+    block_most = np.zeros((len(vocabulary), n_blocks))
     blocks = []
     for b in range(n_blocks):
         own = range(b * BLOCK, min(len(parts), (b + 1) * BLOCK))
         words = np.unique(np.concatenate([found[p][0] for p in own]))
-        weights = np.zeros((len(words), len(own)))
+        weights = np.zeros((len(words) + 1, len(own)))
         for column, p in enumerate(own):
             at, times = found[p]
             length = K1 * (1 - B + B * len(codes[p]) / average)
             raw = rarity[at] * times * (K1 + 1) / (times + length)
             weights[np.searchsorted(words, at), column] = raw / raw.sum()
-        block_most[words, b] = weights.max(axis=1)
-        blocks.append((words, weights, np.array([parts[p][0] for p in own])))
+        block_most[words, b] = weights[:-1].max(axis=1)
+        row = np.full(len(vocabulary), len(words), np.int32)
+        row[words] = np.arange(len(words))
+        blocks.append((row, weights, np.array([parts[p][0] for p in own])))
     maybe = np.zeros(1 << 18, bool)
     maybe[vocabulary & np.uint64((1 << 18) - 1)] = True
-    # the bounds are sums of 32-bit numbers: a little above the exact sums
-    block_most *= np.float32(1.0001)
     longest = max(len(p) for _, p in parts)
-    return Index(
-        [i for i, _, _ in hashed], shingles, vocabulary, maybe, block_most.max(axis=1), block_most, blocks, -(-longest // SEGMENT) + 1
-    )
+    return Index([i for i, _, _ in hashed], shingles, vocabulary, maybe, block_most, blocks, -(-longest // SEGMENT) + 1)
 
 
 def _retrieve(index: Index, words: np.ndarray, first: np.ndarray) -> dict[int, dict[int, float]]:
@@ -142,39 +139,33 @@ def _retrieve(index: Index, words: np.ndarray, first: np.ndarray) -> dict[int, d
     counts = np.diff(first)
     rows = np.searchsorted(first, at, "right") - 1
     # segments in a line, with empty ones between rows, so that no passage reaches into the next row
-    room = -(-counts // SEGMENT) + index.passage
-    base = np.concatenate([[0], np.cumsum(room)])
+    base = np.concatenate([[0], np.cumsum(-(-counts // SEGMENT) + index.passage)])
     segment = base[rows] + (at - first[rows]) // SEGMENT
-    starts = np.flatnonzero(np.diff(segment, prepend=-1))
-    filled = segment[starts]
-
-    def passages(sums: np.ndarray) -> np.ndarray:
-        total = np.zeros((base[-1] + index.passage, *sums.shape[1:]), np.float32)
-        total[filled] = sums
-        return sum(total[i : i + base[-1]] for i in range(index.passage))
-
-    likely = passages(np.add.reduceat(index.most[code], starts)) >= SCORE
-    if not likely.any():
-        return {}
-    # what lies in no likely passage cannot matter
-    wanted = np.zeros(base[-1] + index.passage, bool)
-    for i in range(index.passage):
-        wanted[i : i + base[-1]] |= likely
-    some = wanted[segment]
-    at, code, segment = at[some], code[some], segment[some]
-    starts = np.flatnonzero(np.diff(segment, prepend=-1))
-    filled = segment[starts]
-    bound = passages(np.add.reduceat(index.block_most[code], starts, axis=0))
-    out: dict[int, dict[int, float]] = {}
+    # the segment of the same word before, as far back as a passage reaches
+    order = np.argsort(code.astype(np.uint16) if len(index.vocabulary) < 1 << 16 else code, kind="stable")
+    before = np.full(len(code), -1)
+    same = code[order[1:]] == code[order[:-1]]
+    before[order[1:][same]] = segment[order[:-1][same]]
+    # a word adds to the passages from ``start`` to its own segment
+    start = np.maximum(np.maximum(segment - index.passage + 1, before + 1), base[rows])
+    adds = np.flatnonzero(start <= segment)
+    change = np.zeros((base[-1] + 1, index.block_most.shape[1]))
+    for sign, where in ((1, start[adds]), (-1, segment[adds] + 1)):
+        order = np.argsort(where, kind="stable")
+        cuts = np.flatnonzero(np.diff(where[order], prepend=-1))
+        change[where[order][cuts]] += sign * np.add.reduceat(index.block_most[code[adds[order]]], cuts, axis=0)
+    np.cumsum(change, axis=0, out=change)
     begin = np.searchsorted(segment, np.arange(base[-1] + index.passage + 1))
-    for s, b in np.argwhere((bound >= SCORE) & likely[:, None]):
-        asked = np.unique(code[begin[s] : begin[s + index.passage]])
-        vocabulary, weights, of_part = index.blocks[b]
-        found = weights[np.isin(vocabulary, asked, assume_unique=True)].sum(axis=0)
-        row = int(np.searchsorted(base, s, "right")) - 1
-        for p in np.flatnonzero(found >= SCORE):
+    out: dict[int, dict[int, float]] = {}
+    for s, b in np.argwhere(change >= SCORE - 1e-9):
+        inside = slice(begin[s], begin[s + index.passage])
+        row_of, weights, of_part = index.blocks[b]
+        found = weights[row_of[code[inside][before[inside] < s]]].sum(axis=0)
+        if found.max() >= SCORE:
+            row = int(np.searchsorted(base, s, "right")) - 1
             best = out.setdefault(row, {})
-            best[int(of_part[p])] = max(best.get(int(of_part[p]), 0.0), float(found[p]))
+            for p in np.flatnonzero(found >= SCORE):
+                best[int(of_part[p])] = max(best.get(int(of_part[p]), 0.0), float(found[p]))
     return out
 
 

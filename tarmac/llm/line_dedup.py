@@ -40,9 +40,11 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.coalesce("doc_id", F.lit(_LEAST_ID)).alias("id"), F.xxhash64("text").alias("version"), "doc_id", "text"
     )
     lines = F.split("text", "\n", -1)
+    # the lines are a column of their own, or every window would split the text again
     windows = (
-        base.filter(F.size(lines) >= LINES)
-        .select("id", "version", F.posexplode(_window_digests(lines)).alias("pos", "window"))
+        base.select("id", "version", lines.alias("lines"))
+        .filter(F.size("lines") >= LINES)
+        .select("id", "version", F.posexplode(_window_digests(F.col("lines"))).alias("pos", "window"))
         .filter(F.col("window").isNotNull())
     )
     place = F.struct("id", "version", "pos")
