@@ -1,7 +1,7 @@
 """Toxicity by compression distance: two zstandard dictionaries, one trained on ordinary and one on toxic text.
 
 The ordinary dictionary is trained on windows of ordinary documents. The toxic one holds what toxic text adds to it:
-words in more different contexts of toxic documents than ordinary text explains, then the ordinary dictionary, so
+words and prefixes in more different contexts of toxic documents than ordinary text explains, after the ordinary dictionary, so
 that a window compresses better with it only where it uses those words. Contexts, not occurrences, are counted,
 so copies of a document count once. Every window of a text is compressed with both; how often each
 gain in length occurs is turned into a probability by weights calibrated on other labelled documents.
@@ -32,6 +32,8 @@ LEVEL = 3
 ORDINARY_BYTES = 32_768
 TOXIC_BYTES = 4_096
 GAINS = 16
+#: Lengths of prefixes that count like words, so that inflected forms add up.
+PREFIXES = (5, 6)
 THRESHOLD = 0.3
 #: Bound of the training sample: labelled documents of each class, and the characters of a document in it.
 SAMPLE = {1: 2_400, 0: 4_800}
@@ -89,12 +91,17 @@ def gain_counter(model: Model):
 
 
 def _contexts(texts: list[str]) -> tuple[Counter, int]:
-    """How many different (word before, word after) each word has, and all contexts."""
+    """How many different (word before, word after) each word (with a space behind) and prefix has, and all contexts."""
     seen = set()
     for text in texts:
         words = text.lower().split()
         seen.update(zip(["", *words[:-1]], words, [*words[1:], ""], strict=True))
-    return Counter(word for _, word, _ in seen), len(seen)
+    counts = Counter(f"{word} " for _, word, _ in seen)
+    for word, n in list(counts.items()):
+        for k in PREFIXES:
+            if len(word) > k + 1:
+                counts[word[:k]] += n
+    return counts, len(seen)
 
 
 def _trained(samples: list[bytes], size: int) -> bytes:
@@ -106,28 +113,17 @@ def _trained(samples: list[bytes], size: int) -> bytes:
 
 
 def train(rows: list[tuple[int, str, int]]) -> Model:
-    """Fit on (rank, text, label) rows: ranks not divisible by 3 train the dictionaries, the others calibrate."""
+    """Fit on (rank, text, label) rows. Ranks divisible by 3 calibrate dictionaries trained on the others."""
     labels = np.array([y for _, _, y in rows], float)
     if len(set(labels)) < 2:
         share = min(max(labels.mean() if len(labels) else 0.0, 1e-6), 1 - 1e-6)
         return Model(b" " * 8, b" " * 8, weights=np.array([math.log(share / (1 - share)), 0, 0, 0, 0]))
-    fit = {y: [t for rank, t, label in rows if label == y and rank % 3] for y in (0, 1)}
-    toxic, n_toxic = _contexts(fit[1])
-    plain, n_plain = _contexts(fit[0])
-    least = max(3, math.ceil(0.003 * len(fit[1])))
-    ratio = n_toxic / max(n_plain, 1)
-    chosen = [w for w, n in toxic.items() if n >= least and n >= 8 * ratio * (plain[w] + 1)]
-    chosen.sort(key=lambda w: (toxic[w], w))
-    samples = sorted({w for t in fit[0] for w in windows(t)})
-    random.Random(5).shuffle(samples)
-    ordinary = _trained(samples[:100_000], ORDINARY_BYTES)
-    added = b"".join(f" {w} ".encode("utf-8", "replace") for w in chosen)[-TOXIC_BYTES:]
-    model = Model(ordinary, added + ordinary)
-    count = gain_counter(model)
-    gains = np.array([count(t) for _, t, _ in rows])
     held = np.array([rank % 3 == 0 for rank, _, _ in rows])
-    if len(set(labels[held])) < 2:
+    if min(len(set(labels[held])), len(set(labels[~held]))) < 2:
         held[:] = True
+    model = _dictionaries([r for r, out in zip(rows, held, strict=True) if not out] or rows)
+    count = gain_counter(model)
+    gains = np.array([count(t) for _, t, _ in rows])
     # evidence from documents that did not train the dictionaries
     per_class = [gains[held & (labels == y)].sum(axis=0) + 0.5 for y in (0, 1)]
     model.evidence = np.log((per_class[1] / per_class[1].sum()) / (per_class[0] / per_class[0].sum()))
@@ -137,6 +133,28 @@ def train(rows: list[tuple[int, str, int]]) -> Model:
     return model
 
 
+def _dictionaries(rows: list[tuple[int, str, int]]) -> Model:
+    """The two dictionaries of (rank, text, label) rows."""
+    fit = {y: [t for _, t, label in rows if label == y] for y in (0, 1)}
+    toxic, n_toxic = _contexts(fit[1])
+    plain, n_plain = _contexts(fit[0])
+    least = max(3, math.ceil(0.008 * len(fit[1])))
+    ratio = n_toxic / max(n_plain, 1)
+    chosen = []
+    for w, n in toxic.items():
+        # there are more prefixes than words that look toxic by chance
+        count, odds = (least, 20) if w.endswith(" ") else (2 * least, 100)
+        if n >= count and n >= odds * ratio * (plain[w] + 1):
+            chosen.append(w)
+    chosen.sort(key=lambda w: (toxic[w], w))
+    samples = sorted({w for t in fit[0] for w in windows(t)})
+    random.Random(5).shuffle(samples)
+    ordinary = _trained(samples[:100_000], ORDINARY_BYTES)
+    added = b"".join(f" {w}".encode("utf-8", "replace") for w in chosen)[-TOXIC_BYTES:]
+    # the compressor's table keeps what comes last
+    return Model(ordinary, ordinary + added)
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int = 25) -> np.ndarray:
     """Weights of a logistic regression by Newton's method; all but the first are shrunk a little."""
     w, ridge = np.zeros(x.shape[1]), np.diag([1e-6, *[penalty] * (x.shape[1] - 1)])
