@@ -7,6 +7,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac.functions.choose import first_match
 from tarmac.functions.time import timestamp_lit
@@ -40,11 +41,14 @@ def apply_defaults(df: DataFrame, table: Table, run_ts: dt.datetime) -> DataFram
     return df.withColumns({**missing, **nullable}) if missing or nullable else df
 
 
-def _assigned(table: Table, name: str) -> Column:
+def _assigned(df: DataFrame, table: Table, name: str) -> Column:
     """Cast one column to its declared type; a value that does not fit ends the job."""
     column = table[name]
     source = F.col(name)
-    checked = source.try_cast(column.type)
+    # a decimal is rounded on assignment to an integer column, as databases do
+    whole = column.type.lower() in ("int", "integer", "bigint", "long", "smallint", "tinyint")
+    fractional = isinstance(df.schema[name].dataType, T.DecimalType)
+    checked = (F.round(source) if whole and fractional else source).try_cast(column.type)
     problems = [(source.isNotNull() & checked.isNull(), "does not fit " + column.type)]
     if column.width is not None:
         problems.append((F.length(checked) > column.width, f"is longer than {column.width}"))
@@ -58,4 +62,4 @@ def _assigned(table: Table, name: str) -> Column:
 
 def conform(df: DataFrame, table: Table) -> DataFrame:
     """The columns of ``table`` in order, cast as an INSERT would. Needs no shuffle."""
-    return df.select(*[_assigned(table, name) for name in table.names])
+    return df.select(*[_assigned(df, table, name) for name in table.names])

@@ -70,7 +70,8 @@ def dataset_edges(events: DataFrame, aliases: Aliases) -> DataFrame:
 
     job = F.concat(F.lit("job:"), F.col("job.namespace"), F.lit("/"), F.col("job.name"))
     sides = events.select(job.alias("job_id"), F.inline(F.array(ends("inputs", "read"), ends("outputs", "write"))))
-    named = sides.select("job_id", "kind", F.inline(F.arrays_zip("namespace", "name")))
+    # an event counts once for a dataset, however often it names it
+    named = sides.select("job_id", "kind", F.inline(F.array_distinct(F.arrays_zip("namespace", "name"))))
     dataset, is_read = dataset_id(F.col("namespace"), F.col("name"), aliases), F.col("kind") == "read"
     return (
         named.select("job_id", "kind", dataset.alias("dataset"))

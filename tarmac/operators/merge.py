@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarmac.operators.constraints import require_unique
+from tarmac.session import stored
+
 # Rows are numbered inside this many buckets of equal expected size (three hex digits of a digest).
 ID_BUCKETS = 4096
 
@@ -80,8 +83,13 @@ def upsert_rows(
     id_column: str,
     after: Column | int,
 ) -> DataFrame:
-    """``merge_rows`` with generated ids: existing rows keep theirs, new rows are numbered after ``after``."""
-    added_keys = source.join(target.select(*keys), keys, "left_anti").select(*keys)
-    new_ids = assign_ids(added_keys, keys, id_column, after)
-    numbered = source.join(new_ids, keys, "left")
-    return merge_rows(target, numbered, keys, updates)
+    """``merge_rows`` with generated ids: existing rows keep theirs, new rows are numbered after ``after``.
+
+    A key twice in the source ends the load. The merged rows are written once; only new ones are numbered.
+    """
+    require_unique(source, keys, "source of the merge")
+    unnumbered = source.withColumn(id_column, F.lit(None).cast(target.schema[id_column].dataType))
+    merged = stored(merge_rows(target, unnumbered, keys, updates), "merged")
+    new = merged.filter(F.col(id_column).isNull()).drop(id_column)
+    new_ids = assign_ids(new.select(*keys), keys, id_column, after)
+    return merged.filter(F.col(id_column).isNotNull()).unionByName(new.join(new_ids, keys).select(*merged.columns))

@@ -66,8 +66,20 @@ def column_profile(df: DataFrame, columns: list[str], label: str) -> DataFrame:
             F.sum("n").alias("n_rows"),
             F.coalesce(F.sum(F.when(F.col("cell").isNull(), F.col("n"))), F.lit(0)).alias("n_nulls"),
             F.count("cell").alias("n_distinct"),
-            F.min("cell").alias("min_value"),
-            F.max("cell").alias("max_value"),
         )
+        .join(_bounds(df, columns), "column_name")
         .withColumn("table_name", F.lit(label))
     )
+
+
+def _bounds(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Least and greatest value of each column in the order of its type, as text; one row per column."""
+    found = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.min(c).cast("string").alias("min_value"),
+            F.max(c).cast("string").alias("max_value"),
+        )
+        for c in columns
+    ]
+    return df.agg(F.array(*found).alias("bounds")).select(F.inline("bounds"))

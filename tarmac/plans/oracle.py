@@ -179,10 +179,10 @@ DOCS = """docs AS (
 
 EDGES = f"""{DOCS},
 edges AS (
-  SELECT src, dst, kind, count(*) AS n_events FROM (
-    SELECT 'warehouse/public.t_' || in_1 AS src, 'job:scheduler/' || job AS dst, 'read' AS kind FROM docs
-    UNION ALL SELECT 'warehouse/public.t_' || in_2, 'job:scheduler/' || job, 'read' FROM docs
-    UNION ALL SELECT 'job:scheduler/' || job, 'warehouse/public.t_' || outp, 'write' FROM docs
+  SELECT src, dst, kind, count(DISTINCT event_id) AS n_events FROM (
+    SELECT event_id, 'warehouse/public.t_' || in_1 AS src, 'job:scheduler/' || job AS dst, 'read' AS kind FROM docs
+    UNION ALL SELECT event_id, 'warehouse/public.t_' || in_2, 'job:scheduler/' || job, 'read' FROM docs
+    UNION ALL SELECT event_id, 'job:scheduler/' || job, 'warehouse/public.t_' || outp, 'write' FROM docs
   ) GROUP BY ALL
 )"""
 
@@ -255,7 +255,7 @@ def _profile(columns: str) -> str:
     return " UNION ALL ".join(
         f"SELECT 'marketing_customer' AS table_name, '{c}' AS column_name, count(*) AS n_rows, "
         f"count(*) - count({c}) AS n_nulls, count(DISTINCT {c}) AS n_distinct, "
-        f"min(CAST({c} AS VARCHAR)) AS min_value, max(CAST({c} AS VARCHAR)) AS max_value FROM sampled"
+        f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM sampled"
         for c in columns.split()
     )
 
@@ -445,7 +445,7 @@ sampled AS (
   SELECT * FROM contacts
   WHERE CAST('0x' || substr(md5('sample|' || customer_id), 1, 8) AS BIGINT) * 100 < CAST(20 AS BIGINT) * 4294967296
 )
-{_profile("first_name last_name date_of_birth email address_line2 city state")}""",
+{_profile("customer_id first_name last_name date_of_birth email address_line2 city state")}""",
     "lineage_events": f"""WITH {DOCS}
 SELECT run_id, state AS event_type, ts AS event_time, 'scheduler' AS job_namespace, job AS job_name, parent_run_id,
        date_trunc('second', ts) AS nominal_start, date_trunc('second', ts) AS nominal_end,
@@ -465,7 +465,7 @@ FROM paired""",
 per_run AS (
   SELECT run_id, count(CASE WHEN state = 'START' THEN 1 END) AS n_start,
          count(CASE WHEN state = 'COMPLETE' THEN 1 END) AS n_complete,
-         count(DISTINCT parent_run_id) <= 1 AS same_parent, bool_and(parent_run_id <> run_id) AS parent_is_other,
+         count(DISTINCT parent_run_id) <= 1 AND count(parent_run_id) IN (0, count(*)) AS same_parent, bool_and(parent_run_id <> run_id) AS parent_is_other,
          min(CASE WHEN state = 'START' THEN ts END) AS s, max(CASE WHEN state = 'COMPLETE' THEN ts END) AS c,
          max(CASE WHEN scheduled THEN ts + INTERVAL 1 SECOND END) AS run_after
   FROM docs GROUP BY run_id

@@ -35,7 +35,7 @@ SECOND_RUN_TS = dt.datetime(2020, 6, 15, 18, 0, 0)
 REBASE_NOW = dt.datetime(2026, 3, 1, 10, 20, 30, 123456)
 REBASE_SEED = "rebase"
 PROFILE_PERCENT = 20
-PROFILE_COLUMNS = ["first_name", "last_name", "date_of_birth", "email", "address_line2", "city", "state"]
+PROFILE_COLUMNS = ["customer_id", "first_name", "last_name", "date_of_birth", "email", "address_line2", "city", "state"]
 
 
 def comparable(df: DataFrame) -> DataFrame:

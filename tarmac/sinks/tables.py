@@ -44,7 +44,9 @@ def _new_folder(location: str, name: str) -> str:
 
 
 def _sql_literal(value: object) -> str:
-    return f"'{value}'"
+    """A text literal of Spark SQL."""
+    escaped = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def append(df: DataFrame, table: Table, name: str) -> None:

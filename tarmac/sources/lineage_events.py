@@ -46,5 +46,9 @@ def event_schema() -> T.StructType:
 
 
 def read_events(spark: SparkSession, path: str, *, document_per_file: bool = True) -> DataFrame:
-    """Read event documents. ``document_per_file=False`` reads one document per line, which splits."""
-    return spark.read.schema(event_schema()).option("multiLine", document_per_file).json(path)
+    """Read event documents. ``document_per_file=False`` reads one document per line, which splits.
+
+    A document that is not JSON of this schema ends the read.
+    """
+    reader = spark.read.schema(event_schema()).option("multiLine", document_per_file).option("mode", "FAILFAST")
+    return reader.json(path)
