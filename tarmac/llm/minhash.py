@@ -1,14 +1,14 @@
 """Near-duplicate documents: MinHash bands, odd sketches, links confirmed on whole shingle sets.
 
 Each document is read once. From its set of five-word shingles come a 128-bit digest of the set, band keys from
-MinHash samples of 128 functions, and an odd sketch: the least value in each of 1024 ranges of one hash function (up to
-1024 more MinHash samples; of a small set nearly all its values) flips one bit of a bitmap, so that
+MinHash samples of 128 functions, and an odd sketch: the least value in each of 4096 ranges of one hash function (up to
+4096 more MinHash samples; of a small set nearly all its values) flips one bit of a bitmap, so that
 the XOR of two bitmaps counts the samples in which two sets differ. Documents with equal sets collapse into one node. Nodes
 that share a band key are candidates; the popcount of the XOR drops those that cannot reach the threshold,
 whole texts decide about the rest.
 
-Large groups are not expanded into pairs. First every node is compared with one node of its buckets. Only
-buckets that still hold several components are searched further, between components only, with the sketch and
+Large groups are not expanded into pairs. First every node is compared with one node of its buckets, then
+twice with one node of each bucket's largest component, which joins most of a group. Only buckets that still hold several components are searched further, between components only, with the sketch and
 size test inside the join, which is work for the rows outside a bucket's largest component times its rows. What has not been compared then is either in one component already or excluded.
 
 With 128 samples in 32 bands of 4, a pair at exactly 0.75 is missed with probability 5e-6 and more similar ones far
@@ -33,7 +33,8 @@ SHINGLE = 5
 PERCENT = 75
 SAMPLES = 128
 BAND_ROWS = 4
-RANGES = 1024
+RANGES = 4096
+TURNS = 2
 SKETCH_BITS = 2048
 DEVIATIONS = 4.5
 
@@ -182,24 +183,46 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     traits = stored(nodes.join(wanted, "node", "left_semi").select("node", "n_shingles", "n_samples", "sketch"), "traits")
     texts = stored(docs.join(wanted, docs.doc_id == wanted.node, "left_semi"), "texts")
 
-    # every node against the most similar first node of its buckets
     mine = traits.toDF("node", "n", "s", "sketch")
     theirs = traits.toDF("pivot", "m", "t", "other")
-    stars = members.filter("node != pivot").select("node", "pivot").distinct()
-    stars = stars.join(mine, "node").join(theirs, "pivot").filter(_possible("n", "m", "s", "t", "sketch", "other"))
-    nearest = (-differing_samples("sketch", "other") / (F.col("s") + F.col("t"))).alias("nearest")
-    best = stars.groupBy("node").agg(F.max(F.struct(nearest, "pivot")).alias("best"))
-    tried = stored(best.select(F.col("node").alias("a"), F.col("best.pivot").alias("b")), "tried")
+
+    def nearest(stars: DataFrame) -> DataFrame:
+        """(a, b): each node and the most similar of its pivots that may be linked with it."""
+        both = stars.join(mine, "node").join(theirs, "pivot").filter(_possible("n", "m", "s", "t", "sketch", "other"))
+        distance = (-differing_samples("sketch", "other") / (F.col("s") + F.col("t"))).alias("nearest")
+        best = both.groupBy("node").agg(F.max(F.struct(distance, "pivot")).alias("best"))
+        return best.select(F.col("node").alias("a"), F.col("best.pivot").alias("b"))
+
+    def steps_of(parts: DataFrame) -> DataFrame:
+        return parts.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+    def by_part(parts: DataFrame) -> DataFrame:
+        return members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
+
+    def largest_parts(placed: DataFrame, turn: int) -> DataFrame:
+        """(key, main, pivot) of the buckets with several components: the largest one and a node of it."""
+        any_node = F.min_by("node", F.xxhash64("node", "key", F.lit(turn))).alias("pivot")
+        sizes = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n_nodes"), any_node)
+        largest = F.max(F.struct("n_nodes", "part", "pivot")).alias("largest")
+        several = sizes.groupBy("key").agg(largest, F.count(F.lit(1)).alias("n_parts")).filter("n_parts > 1")
+        return several.select("key", F.col("largest.part").alias("main"), F.col("largest.pivot").alias("pivot"))
+
+    # every node against the most similar first node of its buckets
+    tried = stored(nearest(members.filter("node != pivot").select("node", "pivot").distinct()), "tried")
     links = stored(_confirm(tried, texts), "links")
     parts = stored(connected_components(links.unionByName(ties)), "parts")
+    rounds = [traits, texts, members, tried, links, ties, parts]
+    for turn in range(TURNS):
+        placed = by_part(parts)
+        outside = placed.join(largest_parts(placed, turn), "key").filter("part != main").select("node", "pivot").distinct()
+        links = stored(_confirm(nearest(outside), texts), "links")
+        parts = stored(connected_components(steps_of(parts).unionByName(links)), "parts")
+        rounds += [links, parts]
 
     # buckets that still hold several components: pairs between those. Rows of a bucket's largest component, which may
     # be nearly all of a hot bucket, meet rows outside of it only
-    placed = members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
-    sizes = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n_nodes"))
-    largest = F.max(F.struct("n_nodes", "part"))["part"]
-    mixed = sizes.groupBy("key").agg(largest.alias("main"), F.count(F.lit(1)).alias("n_parts")).filter("n_parts > 1")
-    open_rows = stored(placed.join(mixed.drop("n_parts"), "key").join(mine, "node"), "open")
+    placed = by_part(parts)
+    open_rows = stored(placed.join(largest_parts(placed, TURNS).drop("pivot"), "key").join(mine, "node"), "open")
     outside = open_rows.filter("part != main").drop("main")
     other = open_rows.toDF("node2", "key", "part2", "main", "n2", "s2", "sketch2")
     between = (F.col("part") != F.col("part2")) & ((F.col("part2") == F.col("main")) | (F.col("node") > F.col("node2")))
@@ -210,9 +233,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     untried = crossing.select(F.greatest("node", "node2").alias("a"), F.least("node", "node2").alias("b")).distinct()
     untried = untried.join(tried, ["a", "b"], "left_anti")
     more = _confirm(untried, texts)
-    steps = parts.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    whole = stored(connected_components(steps.unionByName(more)), "parts")
-    for frame in (traits, texts, members, tried, links, ties, parts, open_rows):
+    whole = stored(connected_components(steps_of(parts).unionByName(more)), "parts")
+    for frame in (*rounds, open_rows):
         discard(frame)
 
     of_set = sets.join(whole, "node", "left").select("d0", "d1", F.coalesce("component", "node").alias("of_set"))
