@@ -38,12 +38,12 @@ def parse_instant(text: Column) -> Column:
 
 
 def iso_seconds(ts: Column) -> Column:
-    """``2026-08-31T14:22:11+00:00`` for a timestamp that holds a UTC clock reading."""
+    """``2025-01-02T03:04:05+00:00`` for a timestamp that holds a UTC clock reading."""
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
 
 
 def iso_micros(ts: Column) -> Column:
-    """``2026-08-31T14:22:11.123456+00:00``, always with six fraction digits."""
+    """``2025-01-02T03:04:05.250000+00:00``, always with six fraction digits."""
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
 
 

@@ -117,7 +117,7 @@ def column_edges(events: DataFrame, aliases: Aliases) -> DataFrame:
     """source column -> output column as written in the events, with the number of events."""
     entries = _outputs(events, aliases).select("dataset", F.explode("fields").alias("column_name", "entry"))
     return (
-        entries.select("dataset", "column_name", F.explode("entry.inputFields").alias("f"))
+        entries.select("dataset", "column_name", F.explode(F.array_distinct("entry.inputFields")).alias("f"))
         .select(
             "dataset",
             "column_name",
@@ -132,38 +132,52 @@ def column_edges(events: DataFrame, aliases: Aliases) -> DataFrame:
 def collapse_intermediates(events: DataFrame, aliases: Aliases) -> DataFrame:
     """Column edges with helper datasets replaced by what lies behind them.
 
-    A source that is not among the event's inputs is a helper (a temporary table, a named subquery). Its
-    column is looked up in the same lineage map: where that entry leads to a declared input the edge is
-    ``collapsed`` to it, otherwise it stays and is marked ``unresolved``. No source is invented.
+    A source that is not among the event's inputs is a helper (a temporary table, a named subquery). Entries of the
+    lineage map whose key is no column of the output describe the helpers' columns; they are followed, through
+    any number of helpers, to declared inputs (``collapsed``) or to sources without such an entry (``unresolved``). An
+    entry is followed once for each output column. A column whose helpers lead only to each other keeps its
+    own sources as ``unresolved``. Where the output has no schema nothing is followed.
     """
 
     def is_declared(f: Column) -> Column:
-        return F.array_contains(F.col("declared"), F.concat(f["namespace"], F.lit("/"), f["name"]))
+        source = F.concat(f["namespace"], F.lit("/"), f["name"])
+        return F.coalesce(F.array_contains(F.col("declared"), source), F.lit(False))
 
-    def edge(column: Column, f: Column, status: str) -> Column:
-        return F.struct(
-            column.alias("column_name"),
-            f["namespace"].alias("namespace"),
-            f["name"].alias("name"),
-            f["field"].alias("src_column"),
-            F.lit(status).alias("status"),
-        )
+    def edge(f: Column, status: Column) -> Column:
+        return F.struct(f["namespace"].alias("namespace"), f["name"].alias("name"), f["field"].alias("src_column"), status.alias("status"))
 
-    def of_source(column: Column, f: Column) -> Column:
-        behind = F.filter(F.try_element_at(F.col("fields"), f["field"])["inputFields"], is_declared)
-        return (
-            F.when(is_declared(f), F.array(edge(column, f, "direct")))
-            .when(F.size(behind) > 0, F.transform(behind, lambda b: edge(column, b, "collapsed")))
-            .otherwise(F.array(edge(column, f, "unresolved")))
-        )
+    def is_open(f: Column) -> Column:
+        behind = F.try_element_at(F.col("helpers"), f["field"])
+        return ~is_declared(f) & behind.isNotNull() & (F.size(behind["inputFields"]) > 0)
 
-    def of_column(entry: Column) -> Column:
-        return F.flatten(F.transform(entry["value"]["inputFields"], lambda f: of_source(entry["key"], f)))
+    def follow(state: Column, step: Column) -> Column:
+        reached = F.when(step == 1, F.lit("direct")).otherwise(F.lit("collapsed"))
+        ended = F.transform(
+            F.filter(state["sources"], lambda f: ~is_open(f)),
+            lambda f: edge(f, F.when(is_declared(f), reached).otherwise(F.lit("unresolved"))),
+        )
+        keys = F.transform(F.filter(state["sources"], is_open), lambda f: f["field"])
+        unseen = F.array_except(keys, state["seen"])
+        behind = F.transform(unseen, lambda key: F.try_element_at(F.col("helpers"), key)["inputFields"])
+        return F.struct(
+            F.array_distinct(F.flatten(behind)).alias("sources"),
+            F.concat(state["seen"], unseen).alias("seen"),
+            F.array_union(state["found"], ended).alias("found"),
+        )
 
-    edges = F.flatten(F.transform(F.map_entries("fields"), of_column))
+    # one step more than there are helper entries reaches every end; most columns need one step
+    steps = F.when(F.exists("sources", is_open), F.sequence(F.lit(1), F.size("helpers") + 1)).otherwise(F.array(F.lit(1)))
+    no_edges = F.array().cast("array<struct<namespace: string, name: string, src_column: string, status: string>>")
+    start = F.struct(F.col("sources").alias("sources"), _no_texts().alias("seen"), no_edges.alias("found"))
+    found = F.aggregate(steps, start, follow, lambda state: state["found"])
+    unknown = F.transform("sources", lambda f: edge(f, F.lit("unresolved")))
+    helpers = F.map_filter("fields", lambda key, _: F.coalesce(~F.array_contains(F.col("schema_columns"), key), F.lit(False)))
     return (
         _outputs(events, aliases)
-        .select("dataset", F.inline(edges))
+        .select("dataset", "declared", helpers.alias("helpers"), F.explode("fields").alias("column_name", "entry"))
+        .withColumn("sources", F.array_distinct("entry.inputFields"))
+        .withColumn("found", found)
+        .select("dataset", "column_name", F.inline(F.when(F.size("found") > 0, F.col("found")).otherwise(unknown)))
         .groupBy(
             "dataset",
             "column_name",
@@ -198,18 +212,22 @@ def lineage_schema_check(events: DataFrame, aliases: Aliases) -> DataFrame:
 def schema_columns(events: DataFrame, aliases: Aliases) -> DataFrame:
     """One row per (event, dataset, column): the role of the dataset in the event and the column type."""
 
-    def side(name: str, role: str) -> DataFrame:
-        return (
-            events.select(F.explode(name).alias("d"))
-            .select(
-                F.lit(role).alias("role"),
-                dataset_id(F.col("d.namespace"), F.col("d.name"), aliases).alias("dataset"),
-                F.explode("d.facets.schema.fields").alias("c"),
-            )
-            .select("role", "dataset", F.col("c.name").alias("column_name"), spark_type(F.col("c.type")).alias("type"))
+    def side(name: str, role: str) -> Column:
+        return F.struct(
+            F.lit(role).alias("role"),
+            F.arrays_zip(
+                F.col(f"{name}.namespace").alias("namespace"),
+                F.col(f"{name}.name").alias("name"),
+                F.col(f"{name}.facets.schema.fields").alias("fields"),
+            ).alias("datasets"),
         )
 
-    return side("inputs", "reader").unionByName(side("outputs", "writer"))
+    sides = events.select(F.inline(F.array(side("inputs", "reader"), side("outputs", "writer"))))
+    return (
+        sides.select("role", F.inline("datasets"))
+        .select("role", dataset_id(F.col("namespace"), F.col("name"), aliases).alias("dataset"), F.inline("fields"))
+        .select("role", "dataset", F.col("name").alias("column_name"), spark_type(F.col("type")).alias("type"))
+    )
 
 
 def schema_drift(columns: DataFrame) -> DataFrame:

@@ -194,6 +194,11 @@ LINEAGE = """lineage AS (
   UNION ALL SELECT run_no, host, db, outp, 'risk', 'tmp_staging', 'c_1' FROM docs WHERE NOT is_start
   UNION ALL SELECT run_no, host, db, outp, 'risk', 'tmp_staging', 'c_9' FROM docs WHERE NOT is_start
   UNION ALL SELECT run_no, host, db, outp, 'x_extra', 'with_risk', 'x_extra' FROM docs WHERE NOT is_start
+  UNION ALL SELECT run_no, host, db, outp, 'c_0', 'tmp_staging', 'stage_a' FROM docs WHERE NOT is_start
+  UNION ALL SELECT run_no, host, db, outp, 'stage_a', 't_' || in_1, 'c_0' FROM docs WHERE NOT is_start
+  UNION ALL SELECT run_no, host, db, outp, 'stage_a', 'with_risk', 'stage_b' FROM docs WHERE NOT is_start
+  UNION ALL SELECT run_no, host, db, outp, 'stage_b', 't_' || in_2, 'c_2' FROM docs WHERE NOT is_start
+  UNION ALL SELECT run_no, host, db, outp, 'stage_b', 'with_risk', 'gone' FROM docs WHERE NOT is_start
 )"""
 
 _FACETS = "['int4', 'varchar', 'bpchar', 'text', 'numeric', 'timestamp', 'bool', 'date', '_text']"
@@ -504,23 +509,37 @@ WHERE kind = 'read' AND src NOT IN (SELECT dst FROM edges WHERE kind = 'write')
 SELECT 'warehouse/public.t_' || outp AS dataset, col AS column_name, 'warehouse/public.' || src AS src_dataset,
        field AS src_column, count(*) AS n_events
 FROM lineage GROUP BY ALL""",
-    "lineage_collapse": f"""WITH {DOCS},
+    # every output has the columns c_0 to c_2, so entries of that name do not describe helpers
+    "lineage_collapse": f"""WITH RECURSIVE {DOCS},
 {LINEAGE},
-behind AS (
-  SELECT l.run_no, l.outp, l.col, coalesce(d.src, l.src) AS src, coalesce(d.field, l.field) AS field,
-         CASE WHEN starts_with(l.src, 't_') THEN 'direct' WHEN d.src IS NOT NULL THEN 'collapsed'
-              ELSE 'unresolved' END AS status
-  FROM lineage l LEFT JOIN lineage d
-    ON l.run_no = d.run_no AND NOT starts_with(l.src, 't_') AND starts_with(d.src, 't_') AND d.col = l.field
+helper AS (SELECT * FROM lineage WHERE col NOT IN ('c_0', 'c_1', 'c_2')),
+reached(run_no, outp, col, src, field, is_first) AS (
+  SELECT run_no, outp, col, src, field, TRUE FROM lineage
+  UNION
+  SELECT r.run_no, r.outp, r.col, h.src, h.field, FALSE
+  FROM reached r JOIN helper h ON h.run_no = r.run_no AND h.col = r.field WHERE NOT starts_with(r.src, 't_')
+),
+ended AS (
+  SELECT r.run_no, r.outp, r.col, r.src, r.field,
+         CASE WHEN NOT starts_with(r.src, 't_') THEN 'unresolved' WHEN is_first THEN 'direct' ELSE 'collapsed' END AS status
+  FROM reached r LEFT JOIN (SELECT DISTINCT run_no, col FROM helper) h ON h.run_no = r.run_no AND h.col = r.field
+  WHERE starts_with(r.src, 't_') OR h.col IS NULL
+),
+all_ends AS (
+  SELECT * FROM ended
+  UNION
+  SELECT l.run_no, l.outp, l.col, l.src, l.field, 'unresolved'
+  FROM lineage l LEFT JOIN (SELECT DISTINCT run_no, col FROM ended) e ON e.run_no = l.run_no AND e.col = l.col
+  WHERE e.col IS NULL
 )
 SELECT 'warehouse/public.t_' || outp AS dataset, col AS column_name, 'warehouse/public.' || src AS src_dataset,
        field AS src_column, status, count(*) AS n_events
-FROM behind GROUP BY ALL""",
+FROM all_ends GROUP BY ALL""",
     "lineage_schema_check": f"""WITH {DOCS},
 {SCHEMAS},
 ends AS (SELECT outp AS n, count(*) AS n_events FROM docs WHERE NOT is_start GROUP BY outp),
 written AS (SELECT DISTINCT n, col FROM columns_seen WHERE role = 'writer'),
-named AS (SELECT unnest(['c_1', 'c_2', 'risk', 'x_extra']) AS col)
+named AS (SELECT unnest(['c_0', 'c_1', 'c_2', 'risk', 'stage_a', 'stage_b', 'x_extra']) AS col)
 SELECT 'warehouse/public.t_' || n AS dataset, col AS column_name, 'not in schema' AS problem, n_events
 FROM ends CROSS JOIN named WHERE NOT EXISTS (SELECT 1 FROM written w WHERE w.n = ends.n AND w.col = named.col)
 UNION ALL
@@ -549,3 +568,26 @@ SELECT s.run_id, s.ts AS start_time, c.ts AS complete_time,
 FROM docs s JOIN docs c ON s.run_id = c.run_id
 WHERE s.state = 'START' AND c.state = 'COMPLETE' AND c.ts >= s.ts AND c.ts <= s.ts + INTERVAL 5 MINUTE""",
 }
+
+# loads end in what their queries give for the same rows, documents in JSON in what the documents themselves give
+ORACLE |= {
+    "load_crew_workload": f"WITH {WORKLOAD}\nSELECT * REPLACE (TIMESTAMP '2020-06-15 18:00:00' AS refreshed_at) FROM workload",
+    "load_invalid_email": f"WITH once AS ({ORACLE['invalid_email']}) SELECT * FROM once UNION ALL SELECT * FROM once",
+    "load_disruption_summary": f"""WITH day_1 AS ({ORACLE["summary_upsert"]}),
+{FLIGHTS},
+{EVENTS},
+{CREW},
+{LATER_FLIGHTS},
+{_totals("later_totals", "disruptions", "later_flights")},
+{_risk("later", "later_totals", "2020-06-15 18:00:00")},
+day_2 AS (
+  SELECT * REPLACE ('2020-06-16' AS summary_date), (SELECT max(summary_id) FROM day_1)
+         + {_BY_DIGEST.replace("2020-06-15", "2020-06-16")} AS summary_id
+  FROM later
+)
+SELECT * FROM day_1 UNION ALL BY NAME SELECT * FROM day_2""",
+    "staging_by_view": ORACLE["staging_filter"],
+    "json_lineage_edges": ORACLE["lineage_edges"],
+    "json_run_pairing": ORACLE["run_pairing"],
+    "json_schema_drift": ORACLE["schema_drift"],
+}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -26,7 +27,10 @@ from tarmac.operators import (
 )
 from tarmac.operators.conform import conform, ensure_columns
 from tarmac.session import scratch_path, stored
+from tarmac.sinks import loads
+from tarmac.sinks.tables import reset
 from tarmac.sources import bindings as b
+from tarmac.sources.lineage_events import read_events
 from tarmac.streaming.run_pairing import pair_runs, write_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,6 +158,61 @@ def summary_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(merged)
 
 
+def _loaded(spark: SparkSession, load: Callable[[str, str], None]) -> DataFrame:
+    """What a new catalog table holds after the load of (table name, folder); the table is dropped again."""
+    name = f"load_{uuid.uuid4().hex}"
+    load(name, scratch_path(spark, "load"))
+    rows = stored(spark.table(name), "loaded")
+    reset(spark, [], [name])
+    return comparable(rows)
+
+
+def load_disruption_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads of a day, the second with resolved events and later flights, and one of the next day."""
+    flights, crew = b.flights(spark, folder), b.crew_members(spark, folder)
+    open_events = b.disruption_events(spark, folder, open_crew_only=True)
+    first = b.first_load_events(b.disruption_events(spark, folder))
+    later, table = b.second_load_flights(flights), schemas.DISRUPTION_SUMMARY.widened()
+    next_day = b.AS_OF + dt.timedelta(days=1)
+
+    def load(name: str, place: str) -> None:
+        loads.load_disruption_summary(first, flights, crew, place, b.AS_OF, b.RUN_TS, name, table)
+        loads.load_disruption_summary(open_events, later, crew, place, b.AS_OF, SECOND_RUN_TS, name, table)
+        loads.load_disruption_summary(open_events, later, crew, place, next_day, SECOND_RUN_TS, name, table)
+
+    return _loaded(spark, load)
+
+
+def load_crew_workload(spark: SparkSession, folder: str) -> DataFrame:
+    """A full refresh from some of the events, then one from all."""
+    crew, events = b.crew_members(spark, folder), b.disruption_events(spark, folder)
+    table = schemas.CREW_WORKLOAD_SUMMARY.widened()
+
+    def load(name: str, place: str) -> None:
+        loads.load_crew_workload(crew, b.first_load_events(events), place, b.RUN_TS, name, table)
+        loads.load_crew_workload(crew, events, place, SECOND_RUN_TS, name, table)
+
+    return _loaded(spark, load)
+
+
+def load_invalid_email(spark: SparkSession, folder: str) -> DataFrame:
+    """Two deliveries of the customers, both appended."""
+    customers, table = b.marketing_customer(spark, folder), schemas.INVALID_EMAIL.widened()
+
+    def load(name: str, place: str) -> None:
+        for _ in range(2):
+            loads.load_invalid_email(customers, place, name, table)
+
+    return _loaded(spark, load)
+
+
+def staging_by_view(spark: SparkSession, folder: str) -> DataFrame:
+    """The staging rows through the registered views, read by name."""
+    events = b.disruption_events(spark, folder, open_crew_only=True)
+    views.register_views(spark, events, b.flights(spark, folder), b.crew_members(spark, folder))
+    return comparable(summary.staging(spark.table("vw_crew_disruption_detail")))
+
+
 # -- constraints and quality -----------------------------------------------------------------------
 
 
@@ -302,6 +361,25 @@ def lineage_edges(spark: SparkSession, folder: str) -> DataFrame:
     return lineage_data.dataset_edges(b.lineage_events(spark, folder), b.ALIASES)
 
 
+def _json_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The events written as JSON, one document per line, and read from there."""
+    place = scratch_path(spark, "documents")
+    b.lineage_events(spark, folder).write.json(place)
+    return read_events(spark, place, document_per_file=False)
+
+
+def json_lineage_edges(spark: SparkSession, folder: str) -> DataFrame:
+    return lineage_data.dataset_edges(_json_events(spark, folder), b.ALIASES)
+
+
+def json_run_pairing(spark: SparkSession, folder: str) -> DataFrame:
+    return lineage_runs.run_pairing(_json_events(spark, folder))
+
+
+def json_schema_drift(spark: SparkSession, folder: str) -> DataFrame:
+    return lineage_data.schema_drift(lineage_data.schema_columns(_json_events(spark, folder), b.ALIASES))
+
+
 def lineage_gap(spark: SparkSession, folder: str) -> DataFrame:
     return lineage_data.lineage_gap(lineage_edges(spark, folder))
 
@@ -356,6 +434,10 @@ QUERIES: dict[str, Query] = {
     "email_validity": email_validity,
     "ensure_columns": ensured_columns,
     "summary_upsert": summary_upsert,
+    "load_disruption_summary": load_disruption_summary,
+    "load_crew_workload": load_crew_workload,
+    "load_invalid_email": load_invalid_email,
+    "staging_by_view": staging_by_view,
     "check_unique": check_unique,
     "check_not_null": check_not_null,
     "check_fk": check_fk,
@@ -368,6 +450,9 @@ QUERIES: dict[str, Query] = {
     "rebase_events": rebase_events,
     "endpoint_alignment": endpoint_alignment,
     "lineage_edges": lineage_edges,
+    "json_lineage_edges": json_lineage_edges,
+    "json_run_pairing": json_run_pairing,
+    "json_schema_drift": json_schema_drift,
     "lineage_gap": lineage_gap,
     "lineage_column_edges": lineage_column_edges,
     "lineage_collapse": lineage_collapse,

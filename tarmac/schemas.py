@@ -15,6 +15,12 @@ from pyspark.sql import types as T
 NOW = object()  # default that stands for the run's timestamp
 
 
+def sql_literal(value: object) -> str:
+    """A text literal of Spark SQL."""
+    escaped = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 @dataclass(frozen=True)
 class Column:
     name: str
@@ -23,6 +29,13 @@ class Column:
     width: int | None = None
     default: Any = None
 
+    @property
+    def default_clause(self) -> str:
+        """`` DEFAULT …`` for a constant default, else nothing."""
+        if self.default is None or self.default is NOW:
+            return ""
+        return f" DEFAULT CAST({sql_literal(self.default)} AS {self.type})"
+
 
 @dataclass(frozen=True)
 class Table:
@@ -57,9 +70,9 @@ class Table:
     def __getitem__(self, name: str) -> Column:
         return next(c for c in self.columns if c.name == name)
 
-    def ddl(self, nullable: bool = True) -> str:
-        """Column list for CREATE TABLE."""
-        return ", ".join(f"`{c.name}` {c.type}{'' if nullable or not c.required else ' NOT NULL'}" for c in self.columns)
+    def ddl(self) -> str:
+        """Column list for CREATE TABLE, with constant defaults."""
+        return ", ".join(f"`{c.name}` {c.type}{c.default_clause}" for c in self.columns)
 
     def widened(self) -> "Table":
         """Same table with 64-bit integers and 20-digit sums, for inputs whose totals outgrow 32 bits."""
@@ -81,6 +94,7 @@ def _need(name: str, type_: str, default: Any = None) -> Column:
     return Column(name, type_, True, None, default)
 
 
+# Names, types, widths and defaults of the tables.
 FLIGHTS = Table(
     "flights",
     (

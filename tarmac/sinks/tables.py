@@ -1,7 +1,7 @@
 """Loads into catalog tables stored as parquet.
 
-A load always writes a new folder and then points the table (or the partition) at it in the catalog.
-Readers see the old rows or the new ones, never an empty or half-written table, and a load that fails
+A refresh or upsert writes a new folder and then points the table (or the partition) at it in the catalog; an append
+adds files to the folder in use. With the former, readers see the old rows or the new ones, never an empty or half-written table, and a load that fails
 leaves the table as it was. One writer per table is assumed. Old folders are left to the operator of
 the storage, since readers may still use them.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tarmac.operators.conform import conform
 from tarmac.operators.constraints import require_unique
 from tarmac.operators.merge import upsert_rows
-from tarmac.schemas import NOW, Table
+from tarmac.schemas import Table, sql_literal
 
 
 def ensure_table(spark: SparkSession, table: Table, name: str, location: str) -> None:
@@ -30,9 +30,7 @@ def ensure_table(spark: SparkSession, table: Table, name: str, location: str) ->
     present = spark.table(name).columns
     for column in table.columns:
         if column.name not in present:
-            constant = column.default is not None and column.default is not NOW
-            default = f" DEFAULT {_sql_literal(column.default)}" if constant else ""
-            spark.sql(f"ALTER TABLE {name} ADD COLUMNS (`{column.name}` {column.type}{default})")
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS (`{column.name}` {column.type}{column.default_clause})")
 
 
 def _folder(location: str, name: str, version: str) -> str:
@@ -43,14 +41,8 @@ def _new_folder(location: str, name: str) -> str:
     return _folder(location, name, uuid.uuid4().hex)
 
 
-def _sql_literal(value: object) -> str:
-    """A text literal of Spark SQL."""
-    escaped = str(value).replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{escaped}'"
-
-
 def append(df: DataFrame, table: Table, name: str) -> None:
-    """INSERT of rows whose columns may come in any order."""
+    """INSERT of rows, whose columns may come in any order, into the folder in use; earlier files stay as they are."""
     conform(df, table).write.insertInto(name)
 
 
@@ -103,7 +95,7 @@ def upsert(
     conform(merged, table).write.partitionBy(part).parquet(folder)
 
     for value in values:
-        spec = f"PARTITION ({part} = {_sql_literal(value)})"
+        spec = f"PARTITION ({part} = {sql_literal(value)})"
         place = f"{folder}/{part}={value}"
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {spec} LOCATION '{place}'")
         spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION '{place}'")

@@ -259,6 +259,13 @@ def event_documents(events: DataFrame) -> DataFrame:
         came_from(("c_1", helper), ("c_9", helper)),
         F.lit("x_extra"),
         came_from(("x_extra", subquery)),
+        # through two helpers, one of whose sources leads nowhere
+        F.lit("c_0"),
+        came_from(("stage_a", helper)),
+        F.lit("stage_a"),
+        came_from(("c_0", first_input), ("stage_b", subquery)),
+        F.lit("stage_b"),
+        came_from(("c_2", second_input), ("gone", subquery)),
     )
 
     def dataset(n: Column, as_writer: bool, fields: Column | None = None) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -15,7 +16,8 @@ from tarmac.session import build_session  # noqa: E402
 
 if __name__ == "__main__":
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g")
+    shared = {"spark__checkpoint__dir": tempfile.mkdtemp(), "spark__sql__warehouse__dir": tempfile.mkdtemp()}
+    spark = build_session("local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g", **shared)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     failed = 0

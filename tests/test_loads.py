@@ -130,8 +130,8 @@ def test_contact_loads(spark, place):
     assert spark.table("marketing_leads").count() == 102
     loads.load_invalid_email(customers, place)
     assert [tuple(r)[1:] for r in spark.table("invalid_email").orderBy("customer_id").collect()] == [
-        (2, "Scott", "Aaron"),
-        (57, "Hall", "Daniel"),
+        (2, "Thorne", "Milo"),
+        (57, "Quill", "Vera"),
     ]
     loads.load_invalid_email(customers, place)
     assert spark.table("invalid_email").count() == 4  # an append, not a refresh

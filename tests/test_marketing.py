@@ -21,8 +21,8 @@ def test_leads_and_invalid_email(spark):
     bad = marketing.invalid_email(customers)
     assert bad.columns == ["email", "customer_id", "last_name", "first_name"]
     assert sorted(tuple(r) for r in bad.collect()) == [
-        ("aaron.scottexample.com", 2, "Scott", "Aaron"),
-        ("daniel.hallexample.com", 57, "Hall", "Daniel"),
+        ("milo.thorneexample.com", 2, "Thorne", "Milo"),
+        ("vera.quillexample.com", 57, "Quill", "Vera"),
     ]
 
 

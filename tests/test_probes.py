@@ -1,13 +1,16 @@
 """Small inputs on which operators once gave wrong answers."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
-from tarmac.operators.lineage_data import dataset_edges
+from tarmac.operators.lineage_data import collapse_intermediates, dataset_edges
 from tarmac.operators.lineage_runs import event_consistency
 from tarmac.operators.merge import upsert_rows
 from tarmac.operators.quality import column_profile
-from tarmac.sinks.tables import _sql_literal
+from tarmac.schemas import Column, Table, sql_literal
+from tarmac.sinks.tables import ensure_table, reset
 from tarmac.sources.lineage_events import event_schema, read_events
 
 
@@ -58,4 +61,46 @@ def test_a_key_twice_ends_the_merge(spark):
 
 def test_quotes_in_text_literals(spark):
     for text in ("it's", "a\\b", "''"):
-        assert spark.sql(f"SELECT {_sql_literal(text)}").first()[0] == text
+        assert spark.sql(f"SELECT {sql_literal(text)}").first()[0] == text
+
+
+def test_created_tables_have_their_defaults(spark, tmp_path):
+    table = Table("t", (Column("k", "int"), Column("n", "int", default=0), Column("d", "decimal(4,1)", default=12.0), Column("t", "string", default="it's")))
+    ensure_table(spark, table, "defaults_probe", str(tmp_path))
+    try:
+        spark.sql("INSERT INTO defaults_probe (k) VALUES (1)")
+        assert tuple(spark.table("defaults_probe").first()) == (1, 0, 12, "it's")
+    finally:
+        reset(spark, [], ["defaults_probe"])
+
+
+def test_helpers_are_followed_to_their_ends(spark, tmp_path):
+    sources = {
+        "price": ["in.price"],
+        "other": ["cte.price"],
+        "out1": ["h.mix"],
+        "mix": ["in.a", "h2.z"],
+        "out2": ["h1.lvl1"],
+        "lvl1": ["h2.lvl2"],
+        "lvl2": ["in.b"],
+        "out3": ["h.loop"],
+        "loop": ["h.pool"],
+        "pool": ["h.loop"],
+    }
+    fields = {
+        c: {"inputFields": [{"namespace": "n", "name": s.split(".")[0], "field": s.split(".")[1]} for s in named]}
+        for c, named in sources.items()
+    }
+    schema = {"fields": [{"name": c, "type": "text"} for c in ("price", "other", "out1", "out2", "out3")]}
+    output = {"namespace": "n", "name": "out", "facets": {"schema": schema, "columnLineage": {"fields": fields}}}
+    line = json.dumps({"inputs": [{"namespace": "n", "name": "in"}], "outputs": [output]})
+    rows = collapse_intermediates(document(spark, tmp_path, "e.json", line), {}).collect()
+    got = {(r.column_name, f"{r.src_dataset[2:]}.{r.src_column}", r.status) for r in rows if r.column_name in ("price", "other", "out1", "out2", "out3")}
+    assert got == {
+        ("price", "in.price", "direct"),
+        ("other", "cte.price", "unresolved"),
+        ("out1", "in.a", "collapsed"),
+        ("out1", "h2.z", "unresolved"),
+        ("out2", "in.b", "collapsed"),
+        ("out3", "h.loop", "unresolved"),
+    }
