@@ -180,11 +180,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = buckets.filter("pivot < last").drop("last")
     members = stored(banded.join(buckets, "key").distinct(), "members")
     wanted = members.select("node").distinct()
-    traits = stored(nodes.join(wanted, "node", "left_semi").select("node", "n_shingles", "n_samples", "sketch"), "traits")
+    traits = stored(nodes.join(wanted, "node", "left_semi").select("node", "n_shingles", "n_samples", "sketch", "bands"), "traits")
     texts = stored(docs.join(wanted, docs.doc_id == wanted.node, "left_semi"), "texts")
 
-    mine = traits.toDF("node", "n", "s", "sketch")
-    theirs = traits.toDF("pivot", "m", "t", "other")
+    mine = traits.drop("bands").toDF("node", "n", "s", "sketch")
+    theirs = traits.drop("bands").toDF("pivot", "m", "t", "other")
 
     def nearest(stars: DataFrame) -> DataFrame:
         """(a, b): each node and the most similar of its pivots that may be linked with it."""
@@ -220,17 +220,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         rounds += [links, parts]
 
     # buckets that still hold several components: pairs between those. Rows of a bucket's largest component, which may
-    # be nearly all of a hot bucket, meet rows outside of it only
+    # be nearly all of a hot bucket, meet rows outside of it only. A pair is made in the first bucket it shares: a bucket
+    # with two components is open, so all that it shares are
     placed = by_part(parts)
-    open_rows = stored(placed.join(largest_parts(placed, TURNS).drop("pivot"), "key").join(mine, "node"), "open")
+    open_rows = placed.join(largest_parts(placed, TURNS).drop("pivot"), "key")
+    open_rows = stored(open_rows.join(traits.toDF("node", "n", "s", "sketch", "bands"), "node"), "open")
     outside = open_rows.filter("part != main").drop("main")
-    other = open_rows.toDF("node2", "key", "part2", "main", "n2", "s2", "sketch2")
+    other = open_rows.toDF("node2", "key", "part2", "main", "n2", "s2", "sketch2", "bands2")
     between = (F.col("part") != F.col("part2")) & ((F.col("part2") == F.col("main")) | (F.col("node") > F.col("node2")))
     crossing = outside.join(
         other,
-        (outside.key == other.key) & between & _possible("n", "n2", "s", "s2", "sketch", "sketch2"),
+        (outside.key == other.key)
+        & between
+        & _possible("n", "n2", "s", "s2", "sketch", "sketch2")
+        & (F.array_intersect("bands", "bands2")[0] == outside.key),
     )
-    untried = crossing.select(F.greatest("node", "node2").alias("a"), F.least("node", "node2").alias("b")).distinct()
+    untried = crossing.select(F.greatest("node", "node2").alias("a"), F.least("node", "node2").alias("b"))
     untried = untried.join(tried, ["a", "b"], "left_anti")
     more = _confirm(untried, texts)
     whole = stored(connected_components(steps_of(parts).unionByName(more)), "parts")
