@@ -8,7 +8,9 @@ Retrieval skips as block-max WAND does, without losing anything above the thresh
 parts, added up over the different words of a passage, bounds the score of every part in the block. All
 passages of a batch are bounded at once: a word counts in the passages that reach it and do not hold it before,
 which is a range of passages, so running sums do. Only (passage, block) pairs whose bound reaches the threshold are
-scored exactly. Retrieved documents are verified on word shingles of the whole item and the whole text.
+scored exactly. Retrieved documents are verified on word shingles of the whole text: those of the whole item, or those of
+question and answer each on their own, wherever they stand. So the question is looked for as a part as well.
+Items shorter than a shingle are not scored; they are looked for as runs of words.
 
 Items are dealt into shards of bounded size; each shard's index is broadcast and all documents pass it once.
 No document is shuffled.
@@ -33,6 +35,10 @@ K1, B = 1.2, 0.75
 SCORE = 0.5
 OVERLAP = 0.75
 SHINGLE = 5
+#: A whole question of at least so many words counts without its answer.
+QUESTION_WORDS = 8
+#: Items of so many words, up to a shingle, count wherever they occur; shorter ones only as a whole text.
+RUN_WORDS = 3
 SEGMENT = 16
 #: Longer items are indexed in parts of about this many words.
 PART_WORDS = 32
@@ -65,10 +71,14 @@ def _shingles(words: np.ndarray) -> np.ndarray:
     return np.unique(shingle_hashes(words, np.array([0, len(words)]), SHINGLE)[0])
 
 
+def _run(words: np.ndarray) -> np.uint64:
+    return shingle_hashes(words, np.array([0, len(words)]), len(words))[0][0]
+
+
 def answer_words(text: str) -> int:
-    """How many words at the end are the answer: those of the last sentence, five at least; 0 if there is only one."""
+    """How many words at the end are the answer: those of the last sentence; 0 if there is only one."""
     sentences = re.split(r"(?<=[.?!])\s+", text.strip())
-    return max(SHINGLE, len(sentences[-1].split())) if len(sentences) > 1 else 0
+    return len(sentences[-1].split()) if len(sentences) > 1 else 0
 
 
 @dataclass
@@ -77,6 +87,9 @@ class Index:
 
     item_ids: list[int]
     shingles: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # whole item, question, answer
+    sides: list[tuple[np.ndarray, np.ndarray]]  # words of question and answer
+    runs: dict[int, dict[int, list[int]]]  # number of words -> hash -> ids of the items shorter than a shingle
+    run_words: int
     vocabulary: np.ndarray  # sorted word hashes
     maybe: np.ndarray  # by the low bits of a hash: may be in the vocabulary
     block_most: np.ndarray  # by word and block: largest weight in the block's parts
@@ -84,27 +97,40 @@ class Index:
     passage: int  # segments in a passage
 
 
-def build_index(items: list[tuple[int, str]]) -> Index | None:
+def build_index(items: list[tuple[int, str]], run_words: int = RUN_WORDS) -> Index | None:
     """The index of one shard; None if no item has a word."""
     hashed = [(i, text, words) for (i, text), words in zip(items, _hashes([t for _, t in items]), strict=True) if len(words)]
     if not hashed:
         return None
-    parts: list[tuple[int, np.ndarray]] = []
-    shingles = []
+    runs: dict[int, dict[int, list[int]]] = {}
+    for i, _, words in hashed:
+        if len(words) < SHINGLE:
+            runs.setdefault(len(words), {}).setdefault(int(_run(words)), []).append(i)
+    hashed = [h for h in hashed if len(h[2]) >= SHINGLE]
+    if not hashed:
+        none = np.zeros(0, np.uint64)
+        return Index([], [], [], runs, run_words, none, np.zeros(1 << 18, bool), np.zeros((0, 0)), [], 1)
+    cut = lambda words: np.array_split(words, -(-len(words) // PART_WORDS))
+    whole: list[tuple[int, np.ndarray]] = []
+    apart: list[tuple[int, np.ndarray]] = []
+    shingles, sides = [], []
     for number, (_, text, words) in enumerate(hashed):
-        parts += [(number, p) for p in np.array_split(words, -(-len(words) // PART_WORDS))]
+        whole += [(number, p) for p in cut(words)]
         answer = min(answer_words(text), len(words))
-        question = words[: len(words) - answer] if 0 < answer < len(words) else words
-        asked = _shingles(question) if len(question) >= SHINGLE else question[:0]
-        shingles.append((_shingles(words), asked, _shingles(words[len(words) - answer :])))
-    parts.sort(key=lambda p: len(p[1]))
-    vocabulary, where = np.unique(np.concatenate([p for _, p in parts]), return_inverse=True)
-    ends = np.cumsum([len(p) for _, p in parts])
-    codes = np.split(where, ends[:-1])
+        split = 0 < answer < len(words)
+        side = (words[:-answer], words[-answer:]) if split else (words, words[:0])
+        shingles.append((_shingles(words), *(_shingles(x) if len(x) >= SHINGLE else x[:0] for x in side)))
+        sides.append(side)
+        if split:
+            # a question of few words is in many texts
+            apart += [(number, p) for p in cut(side[0] if len(side[0]) >= SHINGLE else max(side, key=len))]
+    vocabulary = np.unique(np.concatenate([p for _, p in whole]))
+    in_parts = np.bincount(np.concatenate([np.searchsorted(vocabulary, np.unique(p)) for _, p in whole]), minlength=len(vocabulary))
+    rarity = np.log1p((len(whole) - in_parts + 0.5) / (in_parts + 0.5))
+    average = sum(len(p) for _, p in whole) / len(whole)
+    parts = sorted(whole + apart, key=lambda p: len(p[1]))
+    codes = [np.searchsorted(vocabulary, p) for _, p in parts]
     found = [np.unique(c, return_counts=True) for c in codes]
-    in_parts = np.bincount(np.concatenate([words for words, _ in found]), minlength=len(vocabulary))
-    rarity = np.log1p((len(parts) - in_parts + 0.5) / (in_parts + 0.5))
-    average = ends[-1] / len(parts)
     n_blocks = -(-len(parts) // BLOCK)
     block_most = np.zeros((len(vocabulary), n_blocks))
     blocks = []
@@ -124,11 +150,14 @@ def build_index(items: list[tuple[int, str]]) -> Index | None:
     maybe = np.zeros(1 << 18, bool)
     maybe[vocabulary & np.uint64((1 << 18) - 1)] = True
     longest = max(len(p) for _, p in parts)
-    return Index([i for i, _, _ in hashed], shingles, vocabulary, maybe, block_most, blocks, -(-longest // SEGMENT) + 1)
+    ids = [i for i, _, _ in hashed]
+    return Index(ids, shingles, sides, runs, run_words, vocabulary, maybe, block_most, blocks, -(-longest // SEGMENT) + 1)
 
 
 def _retrieve(index: Index, words: np.ndarray, first: np.ndarray) -> dict[int, dict[int, float]]:
     """row -> item number -> best score, of all passages and items that reach the threshold."""
+    if not index.blocks:
+        return {}
     at = np.flatnonzero(index.maybe[words & np.uint64((1 << 18) - 1)])
     code = np.searchsorted(index.vocabulary, words[at])
     code[code == len(index.vocabulary)] = 0
@@ -173,6 +202,38 @@ def _share(of: np.ndarray, there: np.ndarray) -> float | None:
     return float(np.isin(of, there, assume_unique=True).mean()) if len(of) else None
 
 
+def _runs(index: Index, words: np.ndarray, first: np.ndarray) -> set[tuple[int, int]]:
+    """(row, item id) of the items shorter than a shingle."""
+    out = set()
+    for k, wanted in index.runs.items():
+        found, at = shingle_hashes(words, first, k)
+        here = np.flatnonzero(np.isin(found, np.fromiter(wanted, np.uint64)))
+        rows = np.searchsorted(at, here, "right") - 1
+        if k < index.run_words:
+            alone = np.diff(first)[rows] == k
+            here, rows = here[alone], rows[alone]
+        out |= {(row, i) for row, run in set(zip(rows.tolist(), found[here].tolist(), strict=True)) for i in wanted[run]}
+    return out
+
+
+def _side_share(of: np.ndarray, side: np.ndarray, words: np.ndarray, there: np.ndarray) -> float | None:
+    """Share of the shingles of a question or answer; of fewer words, whether they occur in a run."""
+    if 0 < len(side) < SHINGLE:
+        return float(_run(side) in shingle_hashes(words, np.array([0, len(words)]), len(side))[0])
+    return _share(of, there)
+
+
+def _verified(index: Index, number: int, score: float, words: np.ndarray, there: np.ndarray) -> dict | None:
+    """The hit of a retrieved item in a text of these words and shingles; None if too little of the item is there."""
+    shingles, sides = index.shingles[number], index.sides[number]
+    whole = _share(shingles[0], there)
+    question, answer = (_side_share(x, side, words, there) for x, side in zip(shingles[1:], sides, strict=True))
+    both = answer is not None and min(question, answer) >= OVERLAP
+    if not (whole >= OVERLAP or both or (question == 1 and len(sides[0]) >= QUESTION_WORDS)):
+        return None
+    return {"item_id": index.item_ids[number], "bm25": score, "overlap": whole, "question_overlap": question, "answer_overlap": answer}
+
+
 def find_hits(index: Index, column: pa.Array) -> list[list[dict]]:
     """For each text the items that are retrieved and verified."""
     out: list[list[dict]] = []
@@ -180,13 +241,12 @@ def find_hits(index: Index, column: pa.Array) -> list[list[dict]]:
         words, first = word_hashes(data, offsets)
         hits: list[list[dict]] = [[] for _ in range(len(offsets) - 1)]
         for row, items in _retrieve(index, words, first).items():
-            there = _shingles(words[first[row] : first[row + 1]])
-            for number, score in sorted(items.items()):
-                whole, question, answer = (_share(x, there) for x in index.shingles[number])
-                if whole >= OVERLAP:
-                    hits[row].append(
-                        {"item_id": index.item_ids[number], "bm25": score, "overlap": whole, "question_overlap": question, "answer_overlap": answer}
-                    )
+            own = words[first[row] : first[row + 1]]
+            there = _shingles(own)
+            found = (_verified(index, number, score, own, there) for number, score in sorted(items.items()))
+            hits[row] += [h for h in found if h]
+        for row, item in sorted(_runs(index, words, first)):
+            hits[row].append({"item_id": item, "bm25": 1.0, "overlap": 1.0, "question_overlap": None, "answer_overlap": None})
         out += hits
     return out
 
@@ -202,14 +262,23 @@ def _shards(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
 
 
 def with_hits(
-    docs: DataFrame, items: DataFrame, text_col: str = "text", name: str = "hits", *, item_id: str = "item_id", item_text: str = "text"
+    docs: DataFrame,
+    items: DataFrame,
+    text_col: str = "text",
+    name: str = "hits",
+    *,
+    item_id: str = "item_id",
+    item_text: str = "text",
+    run_words: int = RUN_WORDS,
 ) -> DataFrame:
     """The documents with all their columns and an array of the benchmark items they contain.
 
-    An item is contained when one of its parts scores at least ``SCORE`` against a passage and ``OVERLAP`` of the
-    item's five-word shingles occur in the text; an item of fewer words only in a text that is those words.
-    Question and answer (the last sentence, five words at least) are reported on their own
-    as well; NULL where there is only one sentence or the question has fewer than five words. Items with a
+    An item is contained when one of its parts, or of its question's, scores at least ``SCORE`` against a passage and the text
+    holds ``OVERLAP`` of the item's five-word shingles, or ``OVERLAP`` of the question's and of the answer's (the last
+    sentence) each, or the whole question if that has ``QUESTION_WORDS`` words. An answer alone does not count.
+    A question or answer of fewer than five words is there, 1 or 0, as a run of its words. So is an item of fewer than five
+    words, from ``run_words`` words on; a shorter one is contained only in a text that is those words.
+    ``answer_overlap`` is NULL where there is only one sentence, both are for items of fewer than five words. Items with a
     NULL id, NULL text or no word match nothing, nor do NULL or empty texts. Repeated rows each get their hits.
     ``name`` must not be a column yet.
     """
@@ -220,7 +289,7 @@ def with_hits(
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(HIT))])
     kind = pa.list_(pa.struct([("item_id", pa.int64()), *[(f.name, pa.float64()) for f in HIT.fields[1:]]]))
     for shard in _shards(items):
-        index = build_index(shard)
+        index = build_index(shard, run_words)
         if index is None:
             continue
         shared = spark.sparkContext.broadcast(index)

@@ -107,6 +107,32 @@ def test_decontamination_of_edited_and_long_items(spark, monkeypatch):
     assert hits(spark, docs, []) == [] and hits(spark, [], items) == []
 
 
+def test_decontamination_by_question_and_answer_apart(spark, monkeypatch):
+    asked, said = "which of the seven old bridges carried the northern road?", "It was the stone bridge below the mill."
+    short = "who built it? The guild of carpenters built it in one dry summer."
+    items = [(1, f"{asked} {said}"), (2, short), (3, "who was first? Ann Lee was.")]
+    far = " ".join(f"n{i}" for i in range(400))
+    docs = [(1, f"{asked} answer {said}"), (2, f"{said} {far} {asked}"), (3, f"{far} {asked} {far}"), (4, f"{said} {far}")]
+    docs += [(5, f"{short[14:]} {far} {short[:13]}"), (6, short[:13]), (7, short[14:]), (8, f"who was first? {far} Ann Lee was."), (9, "who was first? she was.")]
+    want = {(1, 1), (2, 1), (3, 1), (5, 2), (8, 3)}
+    assert not want & plain_hits(docs, items)
+    assert sorted(hits(spark, docs, items)) == sorted(want)
+    monkeypatch.setattr(decontam, "SHARD_ITEMS", 1)
+    assert sorted(hits(spark, docs, items)) == sorted(want)
+
+
+def test_decontamination_by_items_of_few_words(spark):
+    items = [(1, "Paris in May"), (2, "paris  in may"), (3, "to be or not"), (4, "yes no"), (5, "maybe"), (6, "one two three four five")]
+    docs = [(1, "we saw PARIS in\nMay again"), (2, "Paris in"), (3, "to be or"), (4, "x to be or not to be or not"), (5, "oh yes no"), (6, "maybe"), (7, "maybe so")]
+    want = {(1, 1), (1, 2), (4, 3), (6, 5)}
+    assert sorted(hits(spark, docs, items)) == sorted(want) and set(hits(spark, docs, items[:5])) == want
+    frames = spark.createDataFrame(docs, DOC), spark.createDataFrame(items, "item_id long, text string")
+    every = {(r.doc_id, h.item_id) for r in decontam.with_hits(*frames, run_words=1).collect() for h in r.hits}
+    assert every == want | {(5, 4), (7, 5)}
+    kept = decontam.without_contaminated(*frames).collect()
+    assert {r.doc_id for r in kept} == {2, 3, 5, 7}
+
+
 def test_passages_above_the_threshold_are_all_retrieved():
     random.seed(4)
     words = [f"t{i}" for i in range(60)]
