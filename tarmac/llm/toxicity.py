@@ -1,10 +1,12 @@
-"""Toxicity by compression distance: two zstandard dictionaries, one trained on ordinary and one on toxic text.
+"""Toxicity by compression distance: zstandard dictionaries trained on ordinary and on toxic text.
 
-The ordinary dictionary is trained on windows of ordinary documents. The toxic one holds what toxic text adds to it:
+One dictionary is trained on windows of ordinary documents, one of the same size on windows of toxic documents. How much
+shorter or longer the latter makes a window tells phrases that toxic text repeats, also those of ordinary words. Single words
+hardly show in it, as a trainer keeps what is frequent. So a third dictionary holds what toxic text adds to the ordinary one:
 words and prefixes in more different contexts of toxic documents than ordinary text explains, after the ordinary dictionary, so
 that a window compresses better with it only where it uses those words. Contexts, not occurrences, are counted,
-so copies of a document count once. Every window of a text is compressed with both; how often each
-gain in length occurs is turned into a probability by weights calibrated on other labelled documents.
+so copies of a document count once. Every window of a text is compressed with all three; how often each
+difference in length occurs is turned into a probability by weights calibrated on other labelled documents.
 
 Training reads a bounded sample of the labelled rows; every document is scored, over its whole text.
 """
@@ -29,9 +31,12 @@ from tarmac.llm.frames import unused
 WINDOW_WORDS = 16
 WINDOW_BYTES = 512
 LEVEL = 3
-ORDINARY_BYTES = 32_768
-TOXIC_BYTES = 4_096
+#: Bytes of a trained dictionary, and of the words of toxic text.
+TRAINED_BYTES = 32_768
+WORD_BYTES = 4_096
 GAINS = 16
+#: Differences between the two trained dictionaries that are told apart, and how many of them are below zero.
+LEADS, BEHIND = 32, 8
 #: Lengths of prefixes that count like words, so that inflected forms add up.
 PREFIXES = (5, 6)
 THRESHOLD = 0.3
@@ -42,25 +47,28 @@ LONGEST_SAMPLED = 16_384
 
 @dataclass
 class Model:
-    """Two dictionaries, the evidence of each gain, and the weights of the features."""
+    """Three dictionaries, the evidence of each gain by words, and the weights of the features."""
 
-    ordinary: bytes = b""
-    toxic: bytes = b""
+    ordinary: bytes = b" " * 8
+    toxic: bytes = b" " * 8  # trained on toxic text
+    words: bytes = b" " * 8  # the ordinary one and words of toxic text
     evidence: np.ndarray = field(default_factory=lambda: np.zeros(GAINS))
-    mean: np.ndarray = field(default_factory=lambda: np.zeros(4))
-    scale: np.ndarray = field(default_factory=lambda: np.ones(4))
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(5))
+    mean: np.ndarray = field(default_factory=lambda: np.zeros(6))
+    scale: np.ndarray = field(default_factory=lambda: np.ones(6))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(7))
 
-    def score(self, gains: np.ndarray) -> np.ndarray:
-        """Probability of label 1 for each row of gain counts."""
-        x = (self.features(gains) - self.mean) / self.scale
+    def score(self, found: np.ndarray) -> np.ndarray:
+        """Probability of label 1 for each row of counted differences."""
+        x = (self.features(found) - self.mean) / self.scale
         return 1 / (1 + np.exp(-np.clip(x @ self.weights[1:] + self.weights[0], -30, 30)))
 
-    def features(self, gains: np.ndarray) -> np.ndarray:
+    def features(self, found: np.ndarray) -> np.ndarray:
+        gains, leads = found[:, :GAINS], found[:, GAINS:]
         n = gains.sum(axis=1)
-        found = gains @ np.maximum(self.evidence, 0)
-        top = np.where(gains > 0, np.arange(GAINS), 0).max(axis=1)
-        return np.stack([np.log1p(found), found / np.maximum(n, 1), top, np.log1p(n)], axis=1)
+        known = gains @ np.maximum(self.evidence, 0)
+        tops = [np.where(x > 0, np.arange(x.shape[1]), 0).max(axis=1) for x in (gains, leads)]
+        lead = leads @ (np.arange(LEADS) - BEHIND)
+        return np.stack([np.log1p(known), known / np.maximum(n, 1), tops[0], np.log1p(n), lead / np.maximum(n, 1), tops[1]], axis=1)
 
 
 def windows(text: str) -> list[bytes]:
@@ -80,12 +88,14 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
 
 
 def gain_counter(model: Model):
-    """text -> how many of its windows the toxic dictionary makes shorter by 0, 1, ... bytes."""
-    ordinary, toxic = _compressor(model.ordinary), _compressor(model.toxic)
+    """text -> how many of its windows the words make shorter by 0, 1, ... bytes, and how many the toxic dictionary by -8, -7, ..."""
+    ordinary, toxic, words = (_compressor(x) for x in (model.ordinary, model.toxic, model.words))
 
     def count(text: str | None) -> np.ndarray:
-        gains = [len(ordinary.compress(w)) - len(toxic.compress(w)) for w in windows(text or "")]
-        return np.bincount(np.clip(np.array(gains, np.int64), 0, GAINS - 1), minlength=GAINS)
+        sizes = [(len(ordinary.compress(w)), len(toxic.compress(w)), len(words.compress(w))) for w in windows(text or "")]
+        plain, other, added = np.array(sizes, np.int64).reshape(-1, 3).T
+        gains = np.bincount(np.clip(plain - added, 0, GAINS - 1), minlength=GAINS)
+        return np.concatenate([gains, np.bincount(np.clip(plain - other + BEHIND, 0, LEADS - 1), minlength=LEADS)])
 
     return count
 
@@ -117,24 +127,24 @@ def train(rows: list[tuple[int, str, int]]) -> Model:
     labels = np.array([y for _, _, y in rows], float)
     if len(set(labels)) < 2:
         share = min(max(labels.mean() if len(labels) else 0.0, 1e-6), 1 - 1e-6)
-        return Model(b" " * 8, b" " * 8, weights=np.array([math.log(share / (1 - share)), 0, 0, 0, 0]))
+        return Model(weights=np.array([math.log(share / (1 - share)), *[0] * 6]))
     held = np.array([rank % 3 == 0 for rank, _, _ in rows])
     if min(len(set(labels[held])), len(set(labels[~held]))) < 2:
         held[:] = True
     model = _dictionaries([r for r, out in zip(rows, held, strict=True) if not out] or rows)
     count = gain_counter(model)
-    gains = np.array([count(t) for _, t, _ in rows])
+    found = np.array([count(t) for _, t, _ in rows])
     # evidence from documents that did not train the dictionaries
-    per_class = [gains[held & (labels == y)].sum(axis=0) + 0.5 for y in (0, 1)]
+    per_class = [found[held & (labels == y), :GAINS].sum(axis=0) + 0.5 for y in (0, 1)]
     model.evidence = np.log((per_class[1] / per_class[1].sum()) / (per_class[0] / per_class[0].sum()))
-    x = model.features(gains[held])
+    x = model.features(found[held])
     model.mean, model.scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     model.weights = _logistic(np.column_stack([np.ones(len(x)), (x - model.mean) / model.scale]), labels[held])
     return model
 
 
 def _dictionaries(rows: list[tuple[int, str, int]]) -> Model:
-    """The two dictionaries of (rank, text, label) rows."""
+    """The dictionaries of (rank, text, label) rows."""
     fit = {y: [t for _, t, label in rows if label == y] for y in (0, 1)}
     toxic, n_toxic = _contexts(fit[1])
     plain, n_plain = _contexts(fit[0])
@@ -147,12 +157,14 @@ def _dictionaries(rows: list[tuple[int, str, int]]) -> Model:
         if n >= count and n >= odds * ratio * (plain[w] + 1):
             chosen.append(w)
     chosen.sort(key=lambda w: (toxic[w], w))
-    samples = sorted({w for t in fit[0] for w in windows(t)})
-    random.Random(5).shuffle(samples)
-    ordinary = _trained(samples[:100_000], ORDINARY_BYTES)
-    added = b"".join(f" {w}".encode("utf-8", "replace") for w in chosen)[-TOXIC_BYTES:]
+    trained = []
+    for y in (0, 1):
+        samples = sorted({w for t in fit[y] for w in windows(t)})
+        random.Random(5).shuffle(samples)
+        trained.append(_trained(samples[:100_000], TRAINED_BYTES))
+    added = b"".join(f" {w}".encode("utf-8", "replace") for w in chosen)[-WORD_BYTES:]
     # the compressor's table keeps what comes last
-    return Model(ordinary, ordinary + added)
+    return Model(*trained, trained[0] + added)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int = 25) -> np.ndarray:

@@ -38,6 +38,30 @@ def test_toxicity_on_documents_kept_out_of_training(spark):
     assert auc >= 0.92 and recall >= 0.68 and precision >= 0.7
 
 
+def test_toxic_phrases_of_ordinary_words():
+    """Toxic texts differ in the order of words only, so no word tells them."""
+
+    def rows(n, seed):
+        chosen = random.Random(seed)
+        words = [a + b for a in ("ba", "ce", "di", "fo", "gu", "ha", "je", "ki", "lo", "mu") for b in ("nd", "rt", "sk", "lm", "st", "rp", "th", "ng")]
+        phrases = [" ".join(random.Random(100 + i).choices(words, k=6)) for i in range(20)]
+        for i in range(n):
+            text = [chosen.choice(words) for _ in range(chosen.randrange(80, 200))]
+            for _ in range(0 if i % 6 else 4):
+                text.insert(chosen.randrange(len(text)), chosen.choice(phrases))
+            yield i, " ".join(text), int(i % 6 == 0)
+
+    model = toxicity.train(list(rows(1500, 1)))
+    count = toxicity.gain_counter(model)
+    other = list(rows(600, 2))
+    s, y = model.score(np.array([count(t) for _, t, _ in other])), np.array([y for *_, y in other])
+    order = np.argsort(np.argsort(s))
+    auc = (order[y == 1].sum() - (y == 1).sum() * ((y == 1).sum() - 1) / 2) / ((y == 1).sum() * (y == 0).sum())
+    hit = s >= toxicity.THRESHOLD
+    # with words alone the area was below 0.7 and recall below 0.3
+    assert auc >= 0.88 and (hit & (y == 1)).sum() >= 0.55 * (y == 1).sum()
+
+
 def test_training_reads_no_held_out_row(spark):
     docs, labels = data.frame(spark, "documents"), data.frame(spark, "labels")
     used = {t for _, t, _ in toxicity.training_rows(docs, labels)}
