@@ -12,7 +12,8 @@ scored exactly. Retrieved documents are verified on word shingles of the whole t
 question and answer each on their own, wherever they stand. So the question is looked for as a part as well.
 Items shorter than a shingle are not scored; they are looked for as runs of words.
 
-Items are dealt into shards of bounded size; each shard's index is broadcast and all documents pass it once.
+Items are dealt into shards of bounded size; each shard's index is broadcast and all documents pass it once. Word frequencies
+and average length are those of all items, so scores do not depend on the shards.
 No document is shuffled.
 """
 
@@ -29,7 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.llm.frames import unused
-from tarmac.llm.words import chunks, shingle_hashes, word_hashes
+from tarmac.llm.words import chunks, shingle_hashes, signed, word_hashes
+from tarmac.session import discard, stored
 
 K1, B = 1.2, 0.75
 SCORE = 0.5
@@ -97,8 +99,39 @@ class Index:
     passage: int  # segments in a passage
 
 
-def build_index(items: list[tuple[int, str]], run_words: int = RUN_WORDS) -> Index | None:
-    """The index of one shard; None if no item has a word."""
+def _parts(words: np.ndarray) -> list[np.ndarray]:
+    return np.array_split(words, -(-len(words) // PART_WORDS))
+
+
+@dataclass
+class Counts:
+    """What BM25 knows of all items: number and words of their parts, and in how many parts each word is."""
+
+    parts: int
+    words: int
+    vocabulary: np.ndarray  # sorted word hashes
+    in_parts: np.ndarray
+
+
+def part_counts(texts: list[str]) -> Counts:
+    """The counts of these items; those shorter than a shingle are not scored."""
+    parts = [p for words in _hashes(texts) if len(words) >= SHINGLE for p in _parts(words)]
+    vocabulary, in_parts = np.unique(np.concatenate([np.zeros(0, np.uint64), *map(np.unique, parts)]), return_counts=True)
+    return Counts(len(parts), sum(map(len, parts)), vocabulary, in_parts)
+
+
+def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts -> (what, word, n) of each batch: the parts a word is in, or with a NULL word all parts and their words."""
+    for batch in batches:
+        known = part_counts(batch.column(0).to_pylist())
+        words = pa.array([None, None, *signed(known.vocabulary).tolist()], pa.int64())
+        what = pa.array(["parts", "words", *["word"] * len(known.vocabulary)])
+        n = pa.array([known.parts, known.words, *known.in_parts.tolist()], pa.int64())
+        yield pa.RecordBatch.from_arrays([what, words, n], ["what", "word", "n"])
+
+
+def build_index(items: list[tuple[int, str]], run_words: int = RUN_WORDS, counts: Counts | None = None) -> Index | None:
+    """The index of one shard, by the counts of all items or else of its own; None if no item has a word."""
     hashed = [(i, text, words) for (i, text), words in zip(items, _hashes([t for _, t in items]), strict=True) if len(words)]
     if not hashed:
         return None
@@ -110,12 +143,11 @@ def build_index(items: list[tuple[int, str]], run_words: int = RUN_WORDS) -> Ind
     if not hashed:
         none = np.zeros(0, np.uint64)
         return Index([], [], [], runs, run_words, none, np.zeros(1 << 18, bool), np.zeros((0, 0)), [], 1)
-    cut = lambda words: np.array_split(words, -(-len(words) // PART_WORDS))
     whole: list[tuple[int, np.ndarray]] = []
     apart: list[tuple[int, np.ndarray]] = []
     shingles, sides = [], []
     for number, (_, text, words) in enumerate(hashed):
-        whole += [(number, p) for p in cut(words)]
+        whole += [(number, p) for p in _parts(words)]
         answer = min(answer_words(text), len(words))
         split = 0 < answer < len(words)
         side = (words[:-answer], words[-answer:]) if split else (words, words[:0])
@@ -123,11 +155,12 @@ def build_index(items: list[tuple[int, str]], run_words: int = RUN_WORDS) -> Ind
         sides.append(side)
         if split:
             # a question of few words is in many texts
-            apart += [(number, p) for p in cut(side[0] if len(side[0]) >= SHINGLE else max(side, key=len))]
+            apart += [(number, p) for p in _parts(side[0] if len(side[0]) >= SHINGLE else max(side, key=len))]
     vocabulary = np.unique(np.concatenate([p for _, p in whole]))
-    in_parts = np.bincount(np.concatenate([np.searchsorted(vocabulary, np.unique(p)) for _, p in whole]), minlength=len(vocabulary))
-    rarity = np.log1p((len(whole) - in_parts + 0.5) / (in_parts + 0.5))
-    average = sum(len(p) for _, p in whole) / len(whole)
+    counts = counts or part_counts([text for _, text, _ in hashed])
+    in_parts = counts.in_parts[np.searchsorted(counts.vocabulary, vocabulary)]
+    rarity = np.log1p((counts.parts - in_parts + 0.5) / (in_parts + 0.5))
+    average = counts.words / counts.parts
     parts = sorted(whole + apart, key=lambda p: len(p[1]))
     codes = [np.searchsorted(vocabulary, p) for _, p in parts]
     found = [np.unique(c, return_counts=True) for c in codes]
@@ -251,14 +284,30 @@ def find_hits(index: Index, column: pa.Array) -> list[list[dict]]:
     return out
 
 
-def _shards(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The items in shards of bounded size, by digest; one shard at a time is on the driver."""
+def _shards(items: DataFrame) -> Iterator[tuple[list[tuple[int, str]], Counts | None]]:
+    """The items in shards of bounded size, by digest, and if there are several the counts of all items for each one's words.
+
+    One shard at a time is on the driver.
+    """
     rows, chars = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    if rows <= SHARD_ITEMS and chars <= SHARD_CHARS:
+        yield sorted((r.item_id, r.text) for r in items.collect()), None
+        return
     # twice as many as would do on average, as digests do not deal evenly
-    n = 1 if rows <= SHARD_ITEMS and chars <= SHARD_CHARS else 2 * max(-(-rows // SHARD_ITEMS), -(-chars // SHARD_CHARS))
+    n = 2 * max(-(-rows // SHARD_ITEMS), -(-chars // SHARD_CHARS))
+    sums = items.select("text").mapInArrow(_sum_counts, "what string, word long, n long")
+    sums = stored(sums.groupBy("what", "word").agg(F.sum("n").alias("n")), "item_words")
+    total = {r.what: r.n for r in sums.filter("what != 'word'").collect()}
     for i in range(n):
-        shard = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).collect()
-        yield sorted((r.item_id, r.text) for r in shard)
+        found = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).collect()
+        shard = sorted((r.item_id, r.text) for r in found)
+        words = signed(part_counts([text for _, text in shard]).vocabulary).tolist()
+        own = items.sparkSession.createDataFrame([(w,) for w in words], "word long")
+        known = {r.word: r.n for r in sums.filter("what = 'word'").join(own, "word", "left_semi").collect()}
+        order = sorted(known, key=lambda w: w % (1 << 64))
+        vocabulary = np.array(order, np.int64).view(np.uint64)
+        yield shard, Counts(total.get("parts", 0), total.get("words", 0), vocabulary, np.array([known[w] for w in order], np.int64))
+    discard(sums)
 
 
 def with_hits(
@@ -288,8 +337,8 @@ def with_hits(
     spark, out = docs.sparkSession, docs.withColumn(name, F.array().cast(T.ArrayType(HIT)))
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(HIT))])
     kind = pa.list_(pa.struct([("item_id", pa.int64()), *[(f.name, pa.float64()) for f in HIT.fields[1:]]]))
-    for shard in _shards(items):
-        index = build_index(shard, run_words)
+    for shard, counts in _shards(items):
+        index = build_index(shard, run_words, counts)
         if index is None:
             continue
         shared = spark.sparkContext.broadcast(index)

@@ -157,6 +157,20 @@ def test_decontamination_by_items_of_few_words(spark):
     assert {r.doc_id for r in kept} == {2, 3, 5, 7}
 
 
+def test_scores_do_not_depend_on_shards(spark, monkeypatch):
+    docs, items = data.frame(spark, "documents"), data.frame(spark, "benchmark")
+    near = spark.createDataFrame([(i, " ".join(t.split()[2:])) for i, t in data.rows("benchmark", "item_id, text")], DOC)
+    docs = docs.select("doc_id", "text").unionByName(near)
+
+    def scores():
+        rows = decontam.with_hits(docs, items).selectExpr("doc_id", "inline(hits)").collect()
+        return {(r.doc_id, r.item_id): r.bm25 for r in rows}
+
+    want = scores()
+    monkeypatch.setattr(decontam, "SHARD_ITEMS", 20)
+    assert want and scores() == pytest.approx(want, abs=1e-12)
+
+
 def test_passages_above_the_threshold_are_all_retrieved():
     random.seed(4)
     words = [f"t{i}" for i in range(60)]
