@@ -43,6 +43,8 @@ THRESHOLD = 0.3
 #: Bound of the training sample: labelled documents of each class, and the characters of a document in it.
 SAMPLE = {1: 2_400, 0: 4_800}
 LONGEST_SAMPLED = 16_384
+#: Bound of the different windows that one dictionary is trained on.
+TRAINING_WINDOWS = 100_000
 
 
 @dataclass
@@ -161,7 +163,7 @@ def _dictionaries(rows: list[tuple[int, str, int]]) -> Model:
     for y in (0, 1):
         samples = sorted({w for t in fit[y] for w in windows(t)})
         random.Random(5).shuffle(samples)
-        trained.append(_trained(samples[:100_000], TRAINED_BYTES))
+        trained.append(_trained(samples[:TRAINING_WINDOWS], TRAINED_BYTES))
     added = b"".join(f" {w}".encode("utf-8", "replace") for w in chosen)[-WORD_BYTES:]
     # the compressor's table keeps what comes last
     return Model(*trained, trained[0] + added)

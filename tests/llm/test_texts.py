@@ -62,6 +62,14 @@ def test_toxic_phrases_of_ordinary_words():
     assert auc >= 0.88 and (hit & (y == 1)).sum() >= 0.55 * (y == 1).sum()
 
 
+def test_each_dictionary_is_trained_on_a_bounded_number_of_windows(monkeypatch):
+    monkeypatch.setattr(toxicity, "TRAINING_WINDOWS", 7)
+    sizes = []
+    monkeypatch.setattr(toxicity, "_trained", lambda samples, size: sizes.append(len(samples)) or b" " * 8)
+    toxicity.train([(i, " ".join(f"w{i}x{j}" for j in range(100)), i % 2) for i in range(30)])
+    assert sizes == [7, 7]
+
+
 def test_training_reads_no_held_out_row(spark):
     docs, labels = data.frame(spark, "documents"), data.frame(spark, "labels")
     used = {t for _, t, _ in toxicity.training_rows(docs, labels)}
