@@ -3,10 +3,22 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import chat, decontam, embeddings, licenses, line_dedup, minhash, mixing, token_counts, token_files, toxicity
+from tarmac.llm import (
+    chat,
+    decontam,
+    embeddings,
+    licenses,
+    line_dedup,
+    minhash,
+    mixing,
+    periodic,
+    token_counts,
+    token_files,
+    toxicity,
+)
 from tarmac.llm.frames import on_workers, table
 from tarmac.llm.oracle import ORACLE as ORACLE
 from tarmac.session import discard, scratch_path, stored
@@ -106,6 +118,45 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_planted_run(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): of every document whose id's checksum h ends in 0, the words from word g % n on, g = h div 10,
+    repeat the first (n - g % n) div (3 + g % 8) + 1 of them."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    g = F.floor(h / 10)
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    changed = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("w"), g.alias("g"))
+    changed = changed.withColumn("n", F.size("w"))
+    place, period = F.col("g") % F.col("n"), F.floor((F.col("n") - F.col("place")) / (3 + F.col("g") % 8)) + 1
+
+    def moved(word: Column, i: Column) -> Column:
+        return F.when(i < F.col("place"), word).otherwise(
+            F.get("w", (F.col("place") + (i - F.col("place")) % F.col("period")).cast("int"))
+        )
+
+    return (
+        changed.withColumn("place", F.when(F.col("n") > 0, place))
+        .withColumn("period", period)
+        .select("doc_id", F.when(F.col("n") > 0, F.array_join(F.transform("w", moved), " ")).otherwise(F.col("text")).alias("text"))
+    )
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of runs, the longest one, and digests of all runs and of the text without their repeats."""
+    found = periodic.periodic_runs(with_planted_run(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.s")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.p")).alias("period"),
+        F.floor(1000 * F.col("longest.length") / -F.col("longest.p")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: on_workers(f)
     for f in (
@@ -119,5 +170,6 @@ QUERIES = {
         op8_decontamination,
         op9_license_scan,
         op10_line_dedup,
+        op11_periodic_runs,
     )
 }
