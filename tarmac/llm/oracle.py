@@ -144,10 +144,58 @@ SELECT s.doc_id, CAST(coalesce(len(s.l), 0) AS BIGINT) AS n_lines,
 FROM split s LEFT JOIN texts t USING (doc_id) LEFT JOIN spots p USING (doc_id)
 """
 
+# nodes by a digest of the digests so far; a node's subtree through the paths of one conversation of each node below
+TRIE = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), members AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,
+    (4294967295 - list_reduce(
+      list_concat([4294967295::BIGINT], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda crc, b: list_reduce(list_concat([xor(crc, b)], range(8)), lambda x, _: xor(x >> 1, 3988292384 * (x & 1)))
+    )) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+  SELECT m.conv_id, t.pos, t.role, t.text FROM members m JOIN turns t ON t.conv_id = m.base AND t.pos <= m.h
+  UNION ALL
+  SELECT m.conv_id, t.pos, t.role, t.text FROM members m JOIN turns t ON t.conv_id = m.conv_id AND t.pos > m.h
+), placed AS (
+  SELECT conv_id, row_number() OVER own AS depth, text,
+    md5(string_agg(md5(role || ':' || md5(text)), ' ') OVER own) AS prefix
+  FROM rebuilt WINDOW own AS (PARTITION BY conv_id ORDER BY pos)
+), paths AS (
+  SELECT conv_id, depth, prefix, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words,
+    lag(prefix, 1, '') OVER (PARTITION BY conv_id ORDER BY depth) AS above,
+    depth = max(depth) OVER (PARTITION BY conv_id) AS ends
+  FROM placed
+  UNION ALL
+  SELECT conv_id, 0, '', 0, NULL, conv_id NOT IN (SELECT conv_id FROM placed) FROM members
+), nodes AS (
+  SELECT prefix, min(conv_id) AS conv_id, any_value(depth) AS depth, any_value(above) AS above, count(*) AS n_convs, any_value(words) AS words,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM paths GROUP BY prefix
+), family AS (
+  SELECT n.*, count(c.prefix) AS n_children FROM nodes n LEFT JOIN nodes c ON c.above = n.prefix GROUP BY ALL
+), below AS (
+  -- every node with all nodes on the way up from it: those of one of its conversations
+  SELECT a.prefix AS top, f.n_children, f.n_convs, f.words
+  FROM family f JOIN paths p ON p.prefix = f.prefix AND p.conv_id = f.conv_id
+  JOIN paths a ON a.conv_id = p.conv_id AND a.depth <= p.depth
+)
+SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, f.n_convs, f.n_children,
+  CAST(count(*) FILTER (WHERE b.n_children = 0) AS BIGINT) AS n_leaves,
+  CAST(sum((b.n_convs - 1) * b.words) AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM family f JOIN below b ON b.top = f.prefix LEFT JOIN nodes up ON up.prefix = f.above
+GROUP BY f.prefix, f.conv_id, f.depth, up.conv_id, f.n_convs, f.n_children, f.ends_sha256
+"""
+
 ORACLE = {
     "op1_token_counts": TOKEN_COUNTS,
     "op2_chat_formatting": CHAT,
     "op3_source_mixing": MIXING,
     "op9_license_scan": LICENSES,
     "op10_line_dedup": LINE_DEDUP,
+    "op12_conversation_trie": TRIE,
 }

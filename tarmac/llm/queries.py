@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarmac.llm import (
@@ -15,6 +15,7 @@ from tarmac.llm import (
     minhash,
     mixing,
     periodic,
+    prefix_trie,
     token_counts,
     token_files,
     toxicity,
@@ -157,6 +158,25 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_shared_openings(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(turns, members): conversation c begins with the first h turns of conversation c - c % 20, where h is the checksum of
+    c modulo 4, and goes on with its own turns after its first h. ``members`` has every conversation."""
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")]
+    own = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    placed = turns.filter("conv_id IS NOT NULL").select(F.col("conv_id").cast("long").alias("conv_id"), "turn", *texts)
+    placed = stored(placed.withColumn("turn", F.row_number().over(own)), "placed")
+    opening_of = F.crc32(F.col("conv_id").cast("string")) % 4
+    members = placed.filter("turn = 1").select("conv_id", (F.col("conv_id") - F.col("conv_id") % 20).alias("base"), opening_of.alias("h"))
+    openings = placed.filter("turn <= 3").withColumnRenamed("conv_id", "base").join(members, "base").filter("turn <= h")
+    columns = ["conv_id", "turn", "role", "text"]
+    rest = placed.filter(F.col("turn") > opening_of)
+    return rest.select(*columns).unionByName(openings.select(*columns)), members.select("conv_id")
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(*with_shared_openings(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     f.__name__: on_workers(f)
     for f in (
@@ -171,5 +191,6 @@ QUERIES = {
         op9_license_scan,
         op10_line_dedup,
         op11_periodic_runs,
+        op12_conversation_trie,
     )
 }

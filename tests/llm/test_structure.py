@@ -8,8 +8,8 @@ import zlib
 import numpy as np
 import pytest
 
-from tarmac.llm import periodic
-from tarmac.llm.queries import QUERIES, with_planted_run
+from tarmac.llm import periodic, prefix_trie
+from tarmac.llm.queries import QUERIES, with_planted_run, with_shared_openings
 from tests.llm import data
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -121,3 +121,82 @@ def test_run_query(spark):
         r = got[doc_id]
         assert (r.n_runs, r.start, r.length, r.period, r.exponent_milli) == (len(runs), *(best or (None,) * 3), 1000 * best[1] // best[2] if best else None)
         assert r.runs_sha256 == hexed("".join(f"{s},{n},{q}\n" for s, n, q in runs)) and r.collapsed_sha256 == hexed(plain_collapsed(w, runs))
+
+
+TURN = "conv_id long, turn long, role string, text string"
+
+
+def plain_trie(conversations):
+    """id -> list of (role, text) gives the rows of ``prefix_trie``."""
+    nodes = {}
+    for c, turns in conversations.items():
+        for d in range(len(turns) + 1):
+            nodes.setdefault(tuple(turns[:d]), []).append(c)
+    children = {x: [] for x in nodes}
+    for x in nodes:
+        if x:
+            children[x[:-1]].append(x)
+
+    def below(x):
+        return [x] + [z for y in children[x] for z in below(y)]
+
+    out = []
+    for x, members in nodes.items():
+        own = below(x)
+        saved = sum((len(nodes[y]) - 1) * len(WORD.findall(y[-1][1])) for y in own if y)
+        ends = ",".join(str(c) for c in sorted(members) if len(conversations[c]) == len(x))
+        parent = min(nodes[x[:-1]]) if x else None
+        leaves = sum(not children[y] for y in own)
+        out.append((min(members), len(x), parent, len(members), len(children[x]), leaves, saved, hexed(ends)))
+    return sorted(out, key=str)
+
+
+def trie_of(spark, conversations, parts=None):
+    rows = [(c, i, *t) for c, turns in conversations.items() for i, t in enumerate(turns)]
+    turns = data.clashing(spark.createDataFrame(rows, TURN))
+    members = spark.createDataFrame([(c,) for c in conversations], "conv_id long")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts or before)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        return sorted((tuple(r) for r in prefix_trie.prefix_trie(turns, members).collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_trie_over_partitions(spark, seed):
+    draw = random.Random(seed)
+    letters = ["a b", "c", "d e f", ""][: 1 + seed]
+    conversations = {c: [("user", draw.choice(letters)) for _ in range(draw.choice([0, 1, 2, 3, 6]))] for c in range(-5, 90)}
+    copies = [("user", "a b"), ("assistant", "c")] * 3
+    conversations |= {1000 - c: copies for c in range(60)}
+    assert trie_of(spark, conversations, 16) == plain_trie(conversations)
+
+
+def test_trie_of_odd_rows(spark):
+    one = {7: [("user", "x y")]}
+    assert trie_of(spark, one) == plain_trie(one) == [(7, 0, None, 1, 1, 1, 0, hexed("")), (7, 1, 7, 1, 0, 1, 0, hexed("7"))]
+    assert trie_of(spark, {3: [], 2: []}) == [(2, 0, None, 2, 0, 1, 0, hexed("2,3"))]
+    assert trie_of(spark, {}) == []
+    long = {1: [("user", "w " * 30_000)] * 60, 2: [("user", "w " * 30_000)] * 59, 3: [("a", "")] * 70}
+    assert trie_of(spark, long) == plain_trie(long)
+    rows = [(1, None, "user", "b"), (1, 0, None, None), (2, 5, "user", "b"), (2, 9, "", ""), (None, 0, "user", "x"), (3, 0, "user", "b"), (3, 0, "user", "b"), (4, 0, "user", "b")]
+    got = sorted((tuple(r) for r in prefix_trie.prefix_trie(spark.createDataFrame(rows, TURN)).collect()), key=str)
+    b = ("user", "b")
+    assert got == plain_trie({1: [b, ("", "")], 2: [b, ("", "")], 3: [b, b], 4: [b]})
+
+
+def test_shared_openings(spark):
+    own = {c: [("user", f"{c} {i}") for i in range(c % 7)] for c in range(1, 130)}
+    del own[40]
+    rows = [(c, i, *t) for c, turns in own.items() for i, t in reversed(list(enumerate(turns)))]
+    turns, members = with_shared_openings(spark.createDataFrame(rows, TURN))
+    got = {r.conv_id: [] for r in members.collect()}
+    for r in sorted(turns.collect(), key=lambda r: r.turn):
+        got[r.conv_id].append((r.role, r.text))
+    assert got.keys() == {c for c, t in own.items() if t}
+    for c in got:
+        h = zlib.crc32(str(c).encode()) % 4
+        assert got[c] == own.get(c - c % 20, [])[:h] + own[c][h:]
