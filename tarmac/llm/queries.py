@@ -16,6 +16,7 @@ from tarmac.llm import (
     mixing,
     periodic,
     prefix_trie,
+    suffix_dedup,
     token_counts,
     token_files,
     toxicity,
@@ -177,6 +178,17 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(*with_shared_openings(table(spark, sf_dir, "conversations")))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document what goes, and a digest of the bytes that remain."""
+    return suffix_dedup.drop_repeated_strings(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: on_workers(f)
     for f in (
@@ -192,5 +204,6 @@ QUERIES = {
         op10_line_dedup,
         op11_periodic_runs,
         op12_conversation_trie,
+        op13_suffix_dedup,
     )
 }

@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tarmac.llm import periodic, prefix_trie
+from tarmac.llm import periodic, prefix_trie, suffix_dedup
 from tarmac.llm.queries import QUERIES, with_planted_run, with_shared_openings
 from tests.llm import data
 
@@ -200,3 +200,88 @@ def test_shared_openings(spark):
     for c in got:
         h = zlib.crc32(str(c).encode()) % 4
         assert got[c] == own.get(c - c % 20, [])[:h] + own[c][h:]
+
+
+def plain_cuts(docs, length=100):
+    """[(id, bytes)] with unique ids in order -> id: (merged spans, bytes kept)."""
+    seen, out = set(), {}
+    for doc_id, text in docs:
+        gone = np.zeros(len(text) + 1, np.int64)
+        for i in range(len(text) - length + 1):
+            window = text[i : i + length]
+            if window in seen:
+                gone[i] += 1
+                gone[i + length] -= 1
+            seen.add(window)
+        gone = np.cumsum(gone[:-1]) > 0
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], gone, [0]])))
+        out[doc_id] = [tuple(map(int, x)) for x in edges.reshape(-1, 2)], bytes(np.frombuffer(text, np.uint8)[~gone])
+    return out
+
+
+def test_windows_are_sorted():
+    draw = random.Random(3)
+    for letters, pieces in (("a", 5), ("ab", 30), ("abcdefgh ", 40), ("aaaaaaaab", 30)):
+        base = [bytes(draw.choice(letters.encode()) for _ in range(400)) for _ in range(3)]
+        cuts = [(draw.choice(base), draw.randrange(200), draw.randrange(100, 169)) for _ in range(pieces)]
+        texts = [b[s : s + n] for b, s, n in cuts]
+        sizes = np.array([len(t) for t in texts])
+        first = np.cumsum(sizes + 1) - (sizes + 1)
+        text = np.frombuffer(b"".join(bytes(x + 1 for x in t) + b"\0" for t in texts), np.uint8)
+        words = suffix_dedup._words(text)
+        got = suffix_dedup.suffix_array(text, first, sizes - 99, words)
+        windows = [text[i : i + 100].tobytes() for i in got]
+        assert windows == sorted(windows) and sorted(got) == [i for f, n in zip(first, sizes, strict=True) for i in range(f, f + n - 99)]
+        shared = [0] + [next((k for k in range(100) if a[k] != b[k]), 100) for a, b in zip(windows, windows[1:], strict=False)]
+        assert suffix_dedup.common_prefixes(words, got).tolist() == shared
+
+
+def texts_with_repeats(draw, n):
+    letters = "etaoin shrdlu é\n"
+    base = "".join(draw.choice(letters) for _ in range(3_000))
+    out = []
+    for _ in range(n):
+        kind = draw.randrange(7)
+        own = "".join(draw.choice(letters) for _ in range(draw.choice([0, 50, 300])))
+        a, m = draw.randrange(2_000), draw.choice([60, 99, 100, 101, 150, 400, 900])
+        piece = base[a : a + m]
+        out.append([own, own + piece, piece + own, piece + own + piece, piece[:50] * 8, "x" * m, base[:400] + own][kind])
+    return out
+
+
+@pytest.mark.parametrize("hot", [None, 1])
+def test_repeated_strings(spark, monkeypatch, hot):
+    if hot:
+        monkeypatch.setattr(suffix_dedup, "HOT_ANCHOR", hot)
+    for seed in range(2):
+        docs = list(enumerate(texts_with_repeats(random.Random(seed), 150)))
+        want = plain_cuts([(i, t.encode()) for i, t in docs])
+        frame = data.clashing(spark.createDataFrame(list(reversed(docs)), DOC)).repartition(5)
+        got = suffix_dedup.drop_repeated_strings(frame).collect()
+        assert {r.doc_id: ([tuple(s) for s in r.spans], bytes(r.kept)) for r in got} == want
+        assert len(got) == len(docs) and {r.doc_id: r.n_bytes for r in got} == {i: len(t.encode()) for i, t in docs}
+
+
+def test_repeated_strings_of_odd_rows(spark):
+    long, other = "abcdefghij" * 30_000, "".join(chr(97 + i * i % 23) + str(i) for i in range(60))
+    rows = [(1, None), (2, ""), (3, long), (4, other), (4, other), (None, other[:120]), (5, "é" * 60), (6, "é" * 60), (7, other[:99]), (4, "z" + other)]
+    got = suffix_dedup.drop_repeated_strings(spark.createDataFrame(rows, DOC)).collect()
+    found = sorted(((r.doc_id or 0, r.n_bytes, [tuple(s) for s in r.spans], bytes(r.kept)) for r in got), key=str)
+    n, third = len(other), len("z" + other)
+    # both rows of document 4 are one; which text of id 4 comes first follows from a digest
+    ends = {r[1]: r for r in found if r[0] == 4}
+    assert [r for r in found if r[0] != 4] == sorted(
+        [(0, 120, [], other[:120].encode()), (1, 0, [], b""), (2, 0, [], b""), (3, 300_000, [(10, 300_000)], b"abcdefghij"),
+         (5, 120, [(2, 120)], "é".encode()), (6, 120, [(0, 120)], b""), (7, 99, [], other[:99].encode())], key=str)
+    assert sum(r[0] == 4 for r in found) == 3 and (ends[n][2], ends[third][2]) in (([(0, 120)], [(1, third)]), ([(0, n)], [(1, 121)]))
+    assert suffix_dedup.drop_repeated_strings(spark.createDataFrame([], DOC)).collect() == []
+
+
+def test_repeated_strings_of_documents(spark):
+    rows = data.rows("documents", "doc_id, text", "true ORDER BY doc_id")
+    want = plain_cuts([(i, (t or "").encode()) for i, t in rows])
+    got = QUERIES["op13_suffix_dedup"](spark, data.SF).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        spans, kept = want[r.doc_id]
+        assert (r.n_removed, r.n_spans, r.kept_sha256) == (r.n_bytes - len(kept), len(spans), hexed(kept))
