@@ -139,44 +139,55 @@ def collapse_intermediates(events: DataFrame, aliases: Aliases) -> DataFrame:
     own sources as ``unresolved``. Where the output has no schema nothing is followed.
     """
 
-    def is_declared(f: Column) -> Column:
-        source = F.concat(f["namespace"], F.lit("/"), f["name"])
-        return F.coalesce(F.array_contains(F.col("declared"), source), F.lit(False))
+    edge_type = "array<struct<namespace: string, name: string, src_column: string, status: string>>"
 
-    def edge(f: Column, status: Column) -> Column:
-        return F.struct(f["namespace"].alias("namespace"), f["name"].alias("name"), f["field"].alias("src_column"), status.alias("status"))
+    def marked(_: Column, entry: Column) -> Column:
+        """The sources of an entry, each with whether it is an input and whether it is followed."""
 
-    def is_open(f: Column) -> Column:
-        behind = F.try_element_at(F.col("helpers"), f["field"])
-        return ~is_declared(f) & behind.isNotNull() & (F.size(behind["inputFields"]) > 0)
+        def source(f: Column) -> Column:
+            is_input = F.coalesce(F.array_contains("declared", F.concat(f["namespace"], F.lit("/"), f["name"])), F.lit(False))
+            is_open = F.coalesce(~is_input & F.array_contains("helper_keys", f["field"]), F.lit(False))
+            return F.struct(f["namespace"].alias("namespace"), f["name"].alias("name"), f["field"].alias("field"), is_input.alias("is_input"), is_open.alias("is_open"))
 
-    def follow(state: Column, step: Column) -> Column:
-        reached = F.when(step == 1, F.lit("direct")).otherwise(F.lit("collapsed"))
-        ended = F.transform(
-            F.filter(state["sources"], lambda f: ~is_open(f)),
-            lambda f: edge(f, F.when(is_declared(f), reached).otherwise(F.lit("unresolved"))),
+        return F.transform(F.array_distinct(entry["inputFields"]), source)
+
+    def ends(sources: Column, reached: Column) -> Column:
+        """Edges from the sources that are not followed."""
+        closed = F.filter(sources, lambda f: ~f["is_open"])
+        status = lambda f: F.when(f["is_input"], reached).otherwise(F.lit("unresolved"))
+        return F.transform(
+            closed,
+            lambda f: F.struct(f["namespace"].alias("namespace"), f["name"].alias("name"), f["field"].alias("src_column"), status(f).alias("status")),
         )
-        keys = F.transform(F.filter(state["sources"], is_open), lambda f: f["field"])
+
+    def follow(state: Column, step: Column) -> Column:
+        keys = F.array_distinct(F.transform(F.filter(state["sources"], lambda f: f["is_open"]), lambda f: f["field"]))
         unseen = F.array_except(keys, state["seen"])
-        behind = F.transform(unseen, lambda key: F.try_element_at(F.col("helpers"), key)["inputFields"])
-        return F.struct(
+        behind = F.transform(unseen, lambda key: F.try_element_at(F.col("marked"), key))
+        followed = F.struct(
             F.array_distinct(F.flatten(behind)).alias("sources"),
             F.concat(state["seen"], unseen).alias("seen"),
-            F.array_union(state["found"], ended).alias("found"),
+            F.array_union(state["found"], ends(state["sources"], F.when(step == 1, F.lit("direct")).otherwise(F.lit("collapsed")))).alias("found"),
         )
-
-    # one step more than there are helper entries reaches every end; most columns need one step
-    steps = F.when(F.exists("sources", is_open), F.sequence(F.lit(1), F.size("helpers") + 1)).otherwise(F.array(F.lit(1)))
-    no_edges = F.array().cast("array<struct<namespace: string, name: string, src_column: string, status: string>>")
-    start = F.struct(F.col("sources").alias("sources"), _no_texts().alias("seen"), no_edges.alias("found"))
-    found = F.aggregate(steps, start, follow, lambda state: state["found"])
-    unknown = F.transform("sources", lambda f: edge(f, F.lit("unresolved")))
-    helpers = F.map_filter("fields", lambda key, _: F.coalesce(~F.array_contains(F.col("schema_columns"), key), F.lit(False)))
+        # nothing left to follow: the remaining steps cost nothing
+        return F.when(F.size(state["sources"]) == 0, state).otherwise(followed)
+
+    # an entry is followed once for a column, so one step more than there are helper entries reaches every end
+    steps = F.sequence(F.lit(1), F.size("helper_keys") + 1)
+    start = F.struct(F.col("sources").alias("sources"), _no_texts().alias("seen"), F.array().cast(edge_type).alias("found"))
+    walked = F.aggregate(steps, start, follow, lambda state: state["found"])
+    is_open = F.exists("sources", lambda f: f["is_open"])
+    unknown = ends(F.transform("sources", lambda f: f.withField("is_open", F.lit(False)).withField("is_input", F.lit(False))), F.lit(""))
+    helpers = F.map_filter(
+        "fields",
+        lambda key, entry: F.coalesce(~F.array_contains(F.col("schema_columns"), key) & (F.size(entry["inputFields"]) > 0), F.lit(False)),
+    )
     return (
         _outputs(events, aliases)
-        .select("dataset", "declared", helpers.alias("helpers"), F.explode("fields").alias("column_name", "entry"))
-        .withColumn("sources", F.array_distinct("entry.inputFields"))
-        .withColumn("found", found)
+        .select("dataset", "declared", "fields", F.map_keys(helpers).alias("helper_keys"))
+        .select("dataset", "helper_keys", F.transform_values("fields", marked).alias("marked"))
+        .select("dataset", "helper_keys", "marked", F.explode("marked").alias("column_name", "sources"))
+        .withColumn("found", F.when(is_open, walked).otherwise(ends(F.col("sources"), F.lit("direct"))))
         .select("dataset", "column_name", F.inline(F.when(F.size("found") > 0, F.col("found")).otherwise(unknown)))
         .groupBy(
             "dataset",

@@ -494,6 +494,22 @@ SELECT run_id AS old_run_id, state AS event_type,
        CASE WHEN scheduled THEN {_REBASED}0+00:00' END AS logical_date,
        CASE WHEN scheduled THEN 'http://scheduler.example.com/dags/' || job
          || '/runs/manual__2026-03-01T10%3A20%3A31.123456%2B00%3A00/tasks/load?try_number=1' END AS log_url
+FROM docs""",
+    # objects come out with their fields sorted
+    "json_rebase": f"""WITH {DOCS}
+SELECT CASE WHEN scheduled AND is_start THEN {_REBASED}0.123456+00:00' WHEN scheduled THEN {_REBASED}3.544456+00:00'
+            WHEN is_start THEN {_REBASED}0.000000+00:00' ELSE {_REBASED}3.421000+00:00' END AS event_time,
+       state AS event_type, 'application/json' AS content_type, {_uuid("run", "run_id")} AS run_id,
+       {_uuid("parent", "parent_run_id")} AS root_run_id, 'parent' AS parent_job,
+       CASE WHEN is_start THEN {_REBASED}0+00:00' ELSE {_REBASED}3+00:00' END AS nominal_end,
+       CASE WHEN scheduled THEN 'http://scheduler.example.com/dags/' || job
+         || '/runs/manual__2026-03-01T10%3A20%3A31.123456%2B00%3A00/tasks/load?try_number=1' END AS log_url,
+       CASE WHEN scheduled THEN '1' END AS try_number,
+       '{{"_producer":"https://example.com/' || kind || '","deep":{{"col1":[{{"at":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
+         || '+00:00"}}]}},"kept":true,"props":{{"k":' || in_2 || '}},"tags":[' || in_1 || ',' || in_2 || ']}}' AS custom,
+       event_id % 1000 AS row_count, db || '.public.t_' || in_1 AS first_input,
+       CASE WHEN NOT is_start THEN '{{"inputFields":[{{"field":"c_2","name":"' || db || '.public.t_' || in_1 || '","namespace":"' || host
+         || '"}},{{"field":"c_0","name":"' || db || '.public.t_' || in_2 || '","namespace":"' || host || '"}}]}}' END AS c_2_lineage
 FROM docs""",
     "endpoint_alignment": f"""WITH {DOCS},
 {LINEAGE}
@@ -567,6 +583,29 @@ SELECT s.run_id, s.ts AS start_time, c.ts AS complete_time,
        (epoch_us(c.ts) - epoch_us(s.ts)) / 1000000.0::DOUBLE AS duration_secs
 FROM docs s JOIN docs c ON s.run_id = c.run_id
 WHERE s.state = 'START' AND c.state = 'COMPLETE' AND c.ts >= s.ts AND c.ts <= s.ts + INTERVAL 5 MINUTE""",
+    # an event is ignored if two files earlier the stream's clock had already passed it
+    "streaming_run_states": f"""WITH {DOCS},
+sliced AS (SELECT *, event_id * 6 // (SELECT count(*) FROM docs) AS slice FROM docs WHERE state <> 'FAIL'),
+sent AS (
+  SELECT *, CASE WHEN kind = 'purchase' AND event_id % 2 = 1 AND slice < 4 THEN slice + 2 ELSE slice END AS delivery FROM sliced
+),
+clock AS (
+  SELECT d.n, least(max(CASE WHEN is_start THEN ts END), max(CASE WHEN NOT is_start THEN ts END)) AS seen
+  FROM (SELECT unnest(range(6)) AS n) d JOIN sent s ON s.delivery <= d.n GROUP BY d.n
+),
+heard AS (
+  SELECT s.* FROM sent s LEFT JOIN clock c ON c.n = s.delivery - 2
+  WHERE c.seen IS NULL OR s.ts > date_trunc('millisecond', c.seen) - INTERVAL 2 HOUR
+),
+runs AS (
+  SELECT run_id, min(CASE WHEN is_start THEN ts END) AS start_time, max(CASE WHEN NOT is_start THEN ts END) AS complete_time
+  FROM heard GROUP BY run_id
+)
+SELECT *, (epoch_us(complete_time) - epoch_us(start_time)) / 1000000.0::DOUBLE AS duration_secs,
+       CASE WHEN complete_time IS NULL THEN 'never completed' WHEN start_time IS NULL THEN 'no start'
+            WHEN complete_time >= start_time AND complete_time <= start_time + INTERVAL 5 MINUTE THEN 'paired'
+            ELSE 'late' END AS state
+FROM runs""",
 }
 
 # loads end in what their queries give for the same rows, documents in JSON in what the documents themselves give

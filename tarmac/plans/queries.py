@@ -16,6 +16,7 @@ from tarmac.functions.text import email_matches
 from tarmac.operators import (
     constraints,
     lineage_data,
+    lineage_documents,
     lineage_graph,
     lineage_runs,
     marketing,
@@ -28,10 +29,11 @@ from tarmac.operators import (
 from tarmac.operators.conform import conform, ensure_columns
 from tarmac.session import scratch_path, stored
 from tarmac.sinks import loads
+from tarmac.sinks.documents import write_documents
 from tarmac.sinks.tables import reset
 from tarmac.sources import bindings as b
-from tarmac.sources.lineage_events import read_events
-from tarmac.streaming.run_pairing import pair_runs, write_available
+from tarmac.sources.lineage_events import SCHEDULER_FACET, read_documents, read_events
+from tarmac.streaming.run_pairing import pair_or_release, pair_runs, run_states, write_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -348,6 +350,38 @@ def rebase_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def json_rebase(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole documents read as JSON, one a line, moved to a new time, written back and read again: what was
+    changed, and fields that were not, declared or unknown."""
+    old, new = scratch_path(spark, "documents"), scratch_path(spark, "documents")
+    b.full_documents(spark, folder).write.json(old)
+    documents = read_documents(spark, old, document_per_file=False)
+    write_documents(lineage_documents.rebase_documents(documents, REBASE_SEED, REBASE_NOW), new)
+    document = F.col("document")
+
+    def text(path: str) -> F.Column:
+        return F.try_variant_get(document, f"$.{path}", "string")
+
+    def part(path: str) -> F.Column:
+        return F.to_json(F.try_variant_get(document, f"$.{path}", "variant"))
+
+    return read_documents(spark, new, document_per_file=False).select(
+        text("eventTime").alias("event_time"),
+        text("eventType").alias("event_type"),
+        text("contentType").alias("content_type"),
+        text("run.runId").alias("run_id"),
+        text("run.facets.parent.root.run.runId").alias("root_run_id"),
+        text("run.facets.parent.job.name").alias("parent_job"),
+        text("run.facets.nominalTime.nominalEndTime").alias("nominal_end"),
+        text(f"run.facets.{SCHEDULER_FACET}.taskInstance.log_url").alias("log_url"),
+        text(f"run.facets.{SCHEDULER_FACET}.taskInstance.try_number").alias("try_number"),
+        part("run.facets.custom").alias("custom"),
+        text("inputs[1].facets.statistics.rowCount").cast("bigint").alias("row_count"),
+        text("inputs[0].name").alias("first_input"),
+        part("outputs[0].facets.columnLineage.fields.c_2").alias("c_2_lineage"),
+    )
+
+
 def endpoint_alignment(spark: SparkSession, folder: str) -> DataFrame:
     """Datasets per address after the second address was replaced by the first."""
     aligned = lineage_runs.align_endpoints(
@@ -419,6 +453,16 @@ def streaming_run_pairing(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(pairs.schema).parquet(f"{place}/pairs")
 
 
+def streaming_run_states(spark: SparkSession, folder: str) -> DataFrame:
+    """Every run with what became of it, from a stream that gets its files one after another."""
+    place = scratch_path(spark, "run-states")
+    b.delivered_events(spark, folder, f"{place}/delivered")
+    flat = lineage_runs.flatten_events(b.delivered_event_stream(spark, f"{place}/delivered"))
+    released = pair_or_release(flat, within="5 minutes", lateness="2 hours")
+    write_available(released, f"{place}/released", f"{place}/state")
+    return run_states(spark.read.schema(released.schema).parquet(f"{place}/released")).filter(F.col("run_id") != b.CLOSING_RUN)
+
+
 QUERIES: dict[str, Query] = {
     "scan_project": scan_project,
     "flight_disruptions": flight_disruptions,
@@ -448,6 +492,7 @@ QUERIES: dict[str, Query] = {
     "run_pairing": run_pairing,
     "event_consistency": event_consistency,
     "rebase_events": rebase_events,
+    "json_rebase": json_rebase,
     "endpoint_alignment": endpoint_alignment,
     "lineage_edges": lineage_edges,
     "json_lineage_edges": json_lineage_edges,
@@ -461,4 +506,5 @@ QUERIES: dict[str, Query] = {
     "lineage_upstream": lineage_upstream,
     "lineage_downstream": lineage_downstream,
     "streaming_run_pairing": streaming_run_pairing,
+    "streaming_run_states": streaming_run_states,
 }

@@ -219,8 +219,8 @@ def _columns(number: Column, as_writer: Column) -> Column:
     return F.when(as_writer & (number % 3 == 0), F.concat(usual, extra)).otherwise(usual)
 
 
-def event_documents(events: DataFrame) -> DataFrame:
-    """Two events make a run: the even one is its START, the odd one its end.
+def event_documents(events: DataFrame, *more: Column) -> DataFrame:
+    """Two events make a run: the even one is its START, the odd one its end. ``more`` columns of the events stay beside.
 
     A run reads the tables ``user_id`` and ``props.k`` and writes table ``user_id div 2``, under one of two
     addresses of the same database. Ends carry column lineage, partly through helper datasets.
@@ -338,7 +338,7 @@ def event_documents(events: DataFrame) -> DataFrame:
         "outputs": F.array(dataset(F.floor(F.col("user_id") / 2), True, lineage)),
     }
     # built with the exact types: a cast of a whole struct would keep the optimizer from pruning its fields
-    return events.select(*[fields[name].alias(name) for name in schema_of.names])
+    return events.select(*[fields[name].alias(name) for name in schema_of.names], *more)
 
 
 def lineage_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -351,3 +351,60 @@ def lineage_event_stream(spark: SparkSession, folder: str) -> DataFrame:
     raw = spark.readStream.schema(STAR_SCHEMAS["events"]).parquet(f"{folder}/event[s].parquet")
     copies = F.when(F.col("event_type") == "purchase", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return event_documents(raw.withColumn("delivery", F.explode(copies)))
+
+
+def full_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The events with fields that no schema here declares: at the top, in a facet of the run, in facets of the inputs."""
+    second = F.regexp_extract("props", r"(\d+)", 1).cast("bigint")
+    custom = F.struct(
+        F.concat(F.lit("https://example.com/"), F.col("event_type")).alias("_producer"),
+        F.struct(F.array(F.struct(iso_micros(F.col("ts")).alias("at"))).alias("col1")).alias("deep"),
+        F.lit(True).alias("kept"),
+        F.parse_json("props").alias("props"),
+        F.array(F.col("user_id"), second).alias("tags"),
+    )
+    documents = event_documents(star_table(spark, folder, "events"), custom.alias("custom"), F.col("event_id"))
+    rows = F.struct((F.col("event_id") % 1000).alias("rowCount"))
+    return documents.select(
+        "eventTime",
+        "eventType",
+        "producer",
+        F.lit("application/json").alias("contentType"),
+        "job",
+        F.col("run").withField("facets.custom", F.col("custom")).alias("run"),
+        F.transform("inputs", lambda d: d.withField("facets.statistics", rows)).alias("inputs"),
+        "outputs",
+    )
+
+
+#: Files that the events are delivered in, and the run of the two events that close the delivery.
+DELIVERIES = 6
+CLOSING_RUN = "run--1"
+
+
+def delivered_events(spark: SparkSession, folder: str, place: str) -> None:
+    """Write the events as one file after another below ``place``, in the order of their ids.
+
+    Ends of purchases come two files later, if there are as many; every purchase comes twice. Two more files hold an event of
+    each kind of a run of its own, 30 and 60 days later, which tell a stream that the time of all others is over.
+    """
+    raw = star_table(spark, folder, "events")
+    counted = raw.agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("last")).first()
+    sliced = F.floor(F.col("event_id") * DELIVERIES / max(counted["n"], 1))
+    is_purchase = F.col("event_type") == "purchase"
+    later = is_purchase & (F.col("event_id") % 2 == 1) & (sliced + 2 < DELIVERIES)
+    copies = F.when(is_purchase, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    sent = raw.withColumn("delivery", F.when(later, sliced + 2).otherwise(sliced)).withColumn("copy", F.explode(copies)).drop("copy")
+    for n in range(DELIVERIES):
+        sent.filter(F.col("delivery") == n).drop("delivery").coalesce(1).write.mode("append").parquet(place)
+    if counted["n"]:
+        for days in (30, 60):
+            moved = {"ts": F.lit(counted["last"]).cast("timestamp_ntz") + F.make_dt_interval(F.lit(days)), "event_type": F.lit("click")}
+            one = raw.limit(1).withColumns(moved).drop("event_id").withColumn("event_id", F.explode(F.array(*[F.lit(n).cast("bigint") for n in (-2, -1)])))
+            one.select(*raw.columns).coalesce(1).write.mode("append").parquet(place)
+
+
+def delivered_event_stream(spark: SparkSession, place: str) -> DataFrame:
+    """The documents of ``delivered_events``, one file a batch."""
+    raw = spark.readStream.schema(STAR_SCHEMAS["events"]).option("maxFilesPerTrigger", 1).parquet(place)
+    return event_documents(raw)

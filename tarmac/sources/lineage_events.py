@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Field names of the document format.
@@ -46,9 +47,24 @@ def event_schema() -> T.StructType:
 
 
 def read_events(spark: SparkSession, path: str, *, document_per_file: bool = True) -> DataFrame:
-    """Read event documents. ``document_per_file=False`` reads one document per line, which splits.
+    """Read the declared fields of event documents. ``document_per_file=False`` reads one document per line, which splits.
 
-    A document that is not JSON of this schema ends the read.
+    A document that is not JSON of this schema ends the read. Fields that are not declared are dropped; to write documents
+    back whole, see ``read_documents``.
     """
     reader = spark.read.schema(event_schema()).option("multiLine", document_per_file).option("mode", "FAILFAST")
     return reader.json(path)
+
+
+def read_documents(spark: SparkSession, path: str, *, document_per_file: bool = True) -> DataFrame:
+    """(document): whole documents as variants, with every field. Lines of white space are skipped.
+
+    Text that is not JSON, or an object with one name twice, ends the read. Numbers keep their value, not their spelling.
+    """
+    lines = spark.read.text(path, wholetext=document_per_file)
+    return lines.filter(F.trim(F.translate("value", "\r\n\t", "   ")) != "").select(F.parse_json("value").alias("document"))
+
+
+def declared_fields(document: Column) -> Column:
+    """The declared fields of a document as a struct; what is missing is NULL. A value of another type ends the job."""
+    return F.variant_get(document, "$", event_schema().simpleString())

@@ -1,4 +1,4 @@
-"""Pair START and COMPLETE of a run as the events arrive."""
+"""Pair START and COMPLETE of a run as the events arrive, and tell runs that never complete."""
 
 from __future__ import annotations
 
@@ -8,6 +8,30 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tarmac.functions.time import seconds_between
 
+#: State on local disk with changes written to the checkpoint, instead of in executor memory.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _half(flat_events: DataFrame, event_type: str, prefix: str, lateness: str) -> DataFrame:
+    return (
+        flat_events.filter(F.col("event_type") == event_type)
+        .select(F.col("run_id").alias(f"{prefix}_run"), F.col("event_time").cast("timestamp").alias(f"{prefix}_at"))
+        .withWatermark(f"{prefix}_at", lateness)
+        .dropDuplicatesWithinWatermark([f"{prefix}_run"])
+    )
+
+
+def _joined(flat_events: DataFrame, within: str, lateness: str, how: str) -> DataFrame:
+    starts, completes = (_half(flat_events, kind, kind.lower(), lateness) for kind in ("START", "COMPLETE"))
+    in_bound = F.expr(f"complete_at >= start_at AND complete_at <= start_at + INTERVAL {within}")
+    started, completed = (F.col(c).cast("timestamp_ntz") for c in ("start_at", "complete_at"))
+    return starts.join(completes, (F.col("start_run") == F.col("complete_run")) & in_bound, how).select(
+        F.coalesce("start_run", "complete_run").alias("run_id"),
+        started.alias("start_time"),
+        completed.alias("complete_time"),
+        seconds_between(started, completed).alias("duration_secs"),
+    )
+
 
 def pair_runs(flat_events: DataFrame, *, within: str = "1 hour", lateness: str = "1 hour") -> DataFrame:
     """Runs whose COMPLETE follows its START within a bound.
@@ -16,36 +40,62 @@ def pair_runs(flat_events: DataFrame, *, within: str = "1 hour", lateness: str =
     deliveries are dropped. Events later than ``lateness`` may be ignored; the two bounds limit the
     state that is kept.
     """
+    return _joined(flat_events, within, lateness, "inner")
 
-    def half(event_type: str, prefix: str) -> DataFrame:
-        return (
-            flat_events.filter(F.col("event_type") == event_type)
-            .select(F.col("run_id").alias(f"{prefix}_run"), F.col("event_time").cast("timestamp").alias(f"{prefix}_at"))
-            .withWatermark(f"{prefix}_at", lateness)
-            .dropDuplicatesWithinWatermark([f"{prefix}_run"])
-        )
 
-    starts, completes = half("START", "start"), half("COMPLETE", "complete")
-    in_bound = F.expr(f"complete_at >= start_at AND complete_at <= start_at + INTERVAL {within}")
-    return starts.join(completes, (F.col("start_run") == F.col("complete_run")) & in_bound).select(
-        F.col("start_run").alias("run_id"),
-        F.col("start_at").cast("timestamp_ntz").alias("start_time"),
-        F.col("complete_at").cast("timestamp_ntz").alias("complete_time"),
-        seconds_between(
-            F.col("start_at").cast("timestamp_ntz"), F.col("complete_at").cast("timestamp_ntz")
-        ).alias("duration_secs"),
+def pair_or_release(flat_events: DataFrame, *, within: str = "1 hour", lateness: str = "1 hour") -> DataFrame:
+    """Like ``pair_runs``, and each half that found no partner, once the watermark says that none can come.
+
+    A half is released when events have been seen that lie ``lateness`` after its bound; until then it is neither paired nor
+    released. Released halves have a NULL time on the other side.
+    """
+    return _joined(flat_events, within, lateness, "full_outer")
+
+
+def run_states(released: DataFrame) -> DataFrame:
+    """One row per run of what ``pair_or_release`` wrote, with its state.
+
+    ``paired``; ``late`` where both halves came but not within the bound; ``never completed`` and ``no start`` where one
+    half did not come, or too late to be looked at.
+    """
+    per_run = released.groupBy("run_id").agg(
+        F.min("start_time").alias("start_time"),
+        F.max("complete_time").alias("complete_time"),
+        F.count("duration_secs").alias("n_paired"),
+    )
+    state = (
+        F.when(F.col("n_paired") > 0, F.lit("paired"))
+        .when(F.col("complete_time").isNull(), F.lit("never completed"))
+        .when(F.col("start_time").isNull(), F.lit("no start"))
+        .otherwise(F.lit("late"))
+    )
+    return per_run.select(
+        "run_id",
+        "start_time",
+        "complete_time",
+        seconds_between(F.col("start_time"), F.col("complete_time")).alias("duration_secs"),
+        state.alias("state"),
     )
 
 
 def write_available(pairs: DataFrame, output: str, state: str) -> StreamingQuery:
-    """Process what is there, append it to parquet files and stop. Restarts continue from ``state``."""
-    query = (
-        pairs.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", output)
-        .option("checkpointLocation", state)
-        .trigger(availableNow=True)
-        .start()
-    )
+    """Process what is there, append it to parquet files and stop. Restarts continue from ``state``.
+
+    The state store of a folder is fixed by its first start; new ones use ``STATE_STORE``.
+    """
+    conf, key = pairs.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(key)
+    conf.set(key, STATE_STORE)
+    try:
+        query = (
+            pairs.writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", output)
+            .option("checkpointLocation", state)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        conf.set(key, before)
     query.awaitTermination()
     return query

@@ -2,7 +2,7 @@ import tempfile
 
 import pytest
 
-from tarmac.streaming.run_pairing import pair_runs, write_available
+from tarmac.streaming.run_pairing import pair_or_release, pair_runs, run_states, write_available
 
 DDL = "run_id string, event_type string, event_time timestamp_ntz"
 
@@ -59,3 +59,35 @@ def test_pairs_repeats_and_late_events(spark, place):
     pairs = pair_runs(source(spark, f"{place}/in"), within="1 hour", lateness="10 minutes")
     write_available(pairs, f"{place}/out", f"{place}/state")
     assert spark.read.parquet(f"{place}/out").count() == 2
+
+
+def test_runs_that_never_complete_are_released(spark, place):
+    batches(
+        spark,
+        f"{place}/in",
+        [("a", "START", "2026-01-01 10:00:00"), ("b", "START", "2026-01-01 10:00:10"), ("c", "START", "2026-01-01 10:00:20")],
+        [("a", "COMPLETE", "2026-01-01 10:00:05"), ("d", "COMPLETE", "2026-01-01 10:00:30"), ("a", "COMPLETE", "2026-01-01 10:00:05")],
+        [("c", "COMPLETE", "2026-01-01 11:30:00"), ("e", "START", "2026-01-01 11:40:00")],
+    )
+
+    def run():
+        stream = pair_or_release(source(spark, f"{place}/in"), within="1 hour", lateness="10 minutes")
+        query = write_available(stream, f"{place}/out", f"{place}/state")
+        found = run_states(spark.read.schema(stream.schema).parquet(f"{place}/out")).collect()
+        return query, {r.run_id: (r.state, r.duration_secs) for r in found}
+
+    query, states = run()
+    # the clock stands at 11:20: b and d can find no partner any more; e may still complete
+    assert states["a"] == ("paired", 5.0) and states["b"] == ("never completed", None) and states["d"] == ("no start", None)
+    assert "e" not in states
+    assert any("rocksdb" in name for s in query.lastProgress["stateOperators"] for name in s["customMetrics"])
+
+    # two more files: the first moves the clock, the second lets what is over be released
+    batches(
+        spark,
+        f"{place}/in",
+        [("x", "START", "2026-01-02 10:00:00"), ("x", "COMPLETE", "2026-01-02 10:00:00")],
+        [("y", "START", "2026-01-03 10:00:00"), ("y", "COMPLETE", "2026-01-03 10:00:00")],
+    )
+    _, states = run()
+    assert states["c"] == ("late", 5380.0) and states["e"] == ("never completed", None) and states["a"] == ("paired", 5.0)
