@@ -341,8 +341,14 @@ def event_documents(events: DataFrame, *more: Column) -> DataFrame:
     return events.select(*[fields[name].alias(name) for name in schema_of.names], *more)
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Rows over all cores where their files would leave some without work: a document is many times its row."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def lineage_events(spark: SparkSession, folder: str) -> DataFrame:
-    return event_documents(star_table(spark, folder, "events"))
+    return event_documents(_spread(star_table(spark, folder, "events")))
 
 
 def lineage_event_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -363,7 +369,7 @@ def full_documents(spark: SparkSession, folder: str) -> DataFrame:
         F.parse_json("props").alias("props"),
         F.array(F.col("user_id"), second).alias("tags"),
     )
-    documents = event_documents(star_table(spark, folder, "events"), custom.alias("custom"), F.col("event_id"))
+    documents = event_documents(_spread(star_table(spark, folder, "events")), custom.alias("custom"), F.col("event_id"))
     rows = F.struct((F.col("event_id") % 1000).alias("rowCount"))
     return documents.select(
         "eventTime",
