@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tarmac.session import discard, stored
@@ -14,32 +14,32 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Alternates two steps until nothing changes: every node sends its larger neighbours to the smallest it
     knows, then its smaller ones. Each step is a minimum per node, combined before the shuffle, and a join;
     no neighbour list is ever collected, so a hub with a third of all edges is only a skewed join. Rounds grow with
-    the logarithm of the longest chain. Each round is written to the shared folder. Rows with a NULL end and
-    loops are left out, repeated edges count once; without edges the result is empty.
+    the logarithm of the longest chain. Each round is written to the shared folder, and counted while it is written. Rows with a
+    NULL end and loops are left out, repeated edges count once; without edges the result is empty.
     """
     a, b = F.col("a"), F.col("b")
-    current = stored(
-        edges.filter(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges"
-    )
-    state = _signature(current)
+    start = edges.filter(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
+    current, state = _stored_and_counted(start)
     while True:
-        both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = current.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stored(large, "edges")
+        # an edge becomes one edge at most, so repeated ones need not be removed here
+        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        following = stored(moved.unionByName(least.withColumnRenamed("m", "v")).distinct(), "edges")
+        following, after = _stored_and_counted(moved.unionByName(least.withColumnRenamed("m", "v")))
         discard(current)
-        discard(large)
-        current, before, state = following, state, _signature(following)
+        current, before, state = following, state, after
         if state == before:
             break
+    # nothing changed: one edge from every node to its root
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def _signature(edges: DataFrame) -> tuple:
-    """Number of edges and a sum of their digests: equal for equal tables."""
+def _stored_and_counted(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, written, with their number and a sum of their digests: equal for equal tables."""
+    seen = Observation()
     digest = F.xxhash64("u", "v").cast("decimal(20,0)")
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(digest)).first())
+    kept = stored(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(digest).alias("digest")), "edges")
+    return kept, tuple(seen.get.values())

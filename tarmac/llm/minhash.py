@@ -150,7 +150,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(confirm_batches, "a long, b long").distinct()
+    return both.mapInArrow(confirm_batches, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -165,32 +165,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sketched = stored(docs.mapInArrow(sketch_batches, SKETCHED), "sketched")
     known = sketched.filter("doc_id IS NOT NULL AND n_shingles > 0")
-    sets = known.groupBy("d0", "d1").agg(F.min("doc_id").alias("node"))
-    firsts = sets.select("d0", "d1", F.col("node").alias("doc_id"))
+    same = [F.any_value(c).alias(c) for c in ("n_shingles", "n_samples", "sketch", "bands")]
+    nodes = stored(known.groupBy("d0", "d1").agg(F.min("doc_id").alias("node"), *same), "nodes")
+    sets = nodes.select("d0", "d1", "node")
     # ids with several texts tie the nodes of these together
-    several = known.groupBy("doc_id").agg(F.min("d0").alias("p"), F.max("d0").alias("q")).filter("p < q").select("doc_id")
-    ties = stored(
-        known.join(several, "doc_id", "left_semi").join(sets, ["d0", "d1"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b")),
-        "ties",
-    )
-    nodes = known.join(firsts, ["d0", "d1", "doc_id"]).withColumnRenamed("doc_id", "node")
+    spread = (F.min("d0") < F.max("d0")) | (F.min("d1") < F.max("d1"))
+    several = known.groupBy("doc_id").agg(spread.alias("several")).filter("several").select("doc_id")
+    ties = stored(several.join(known, "doc_id").join(sets, ["d0", "d1"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b")), "ties")
 
     banded = nodes.select(F.explode("bands").alias("key"), "node")
     buckets = banded.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
-    buckets = buckets.filter("pivot < last").drop("last")
-    members = stored(banded.join(buckets, "key").distinct(), "members")
+    members = stored(banded.join(buckets.filter("pivot < last").drop("last"), "key"), "members")
     wanted = members.select("node").distinct()
-    traits = stored(nodes.join(wanted, "node", "left_semi").select("node", "n_shingles", "n_samples", "sketch", "bands"), "traits")
     texts = stored(docs.join(wanted, docs.doc_id == wanted.node, "left_semi"), "texts")
 
-    mine = traits.drop("bands").toDF("node", "n", "s", "sketch")
-    theirs = traits.drop("bands").toDF("pivot", "m", "t", "other")
+    mine = nodes.select("node", F.col("n_shingles").alias("n"), F.col("n_samples").alias("s"), "sketch")
+    theirs = mine.toDF("pivot", "m", "t", "other")
 
     def nearest(stars: DataFrame) -> DataFrame:
         """(a, b): each node and the most similar of its pivots that may be linked with it."""
-        both = stars.join(mine, "node").join(theirs, "pivot").filter(_possible("n", "m", "s", "t", "sketch", "other"))
+        # a node has a pivot or two in each of its buckets
+        pivots = stars.groupBy("node").agg(F.collect_set("pivot").alias("pivots"))
+        pairs = pivots.join(mine, "node").select("*", F.explode("pivots").alias("pivot")).drop("pivots")
+        possible = pairs.join(theirs, "pivot").filter(_possible("n", "m", "s", "t", "sketch", "other"))
         distance = (-differing_samples("sketch", "other") / (F.col("s") + F.col("t"))).alias("nearest")
-        best = both.groupBy("node").agg(F.max(F.struct(distance, "pivot")).alias("best"))
+        best = possible.groupBy("node").agg(F.max(F.struct(distance, "pivot")).alias("best"))
         return best.select(F.col("node").alias("a"), F.col("best.pivot").alias("b"))
 
     def steps_of(parts: DataFrame) -> DataFrame:
@@ -199,31 +198,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def by_part(parts: DataFrame) -> DataFrame:
         return members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
 
-    def largest_parts(placed: DataFrame, turn: int) -> DataFrame:
-        """(key, main, pivot) of the buckets with several components: the largest one and a node of it."""
-        any_node = F.min_by("node", F.xxhash64("node", "key", F.lit(turn))).alias("pivot")
-        sizes = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n_nodes"), any_node)
-        largest = F.max(F.struct("n_nodes", "part", "pivot")).alias("largest")
+    def largest_parts(placed: DataFrame) -> DataFrame:
+        """(key, main, pivots) of the buckets with several components: the largest one and two nodes of it."""
+        any_nodes = [F.min_by("node", F.xxhash64("node", "key", F.lit(turn))) for turn in range(TURNS)]
+        sizes = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n_nodes"), F.array(*any_nodes).alias("pivots"))
+        largest = F.max(F.struct("n_nodes", "part", "pivots")).alias("largest")
         several = sizes.groupBy("key").agg(largest, F.count(F.lit(1)).alias("n_parts")).filter("n_parts > 1")
-        return several.select("key", F.col("largest.part").alias("main"), F.col("largest.pivot").alias("pivot"))
+        return several.select("key", F.col("largest.part").alias("main"), F.col("largest.pivots").alias("pivots"))
 
     # every node against the most similar first node of its buckets
-    tried = stored(nearest(members.filter("node != pivot").select("node", "pivot").distinct()), "tried")
-    links = stored(_confirm(tried, texts), "links")
+    links = _confirm(nearest(members.filter("node != pivot")), texts)
     parts = stored(connected_components(links.unionByName(ties)), "parts")
-    rounds = [traits, texts, members, tried, links, ties, parts]
-    for turn in range(TURNS):
-        placed = by_part(parts)
-        outside = placed.join(largest_parts(placed, turn), "key").filter("part != main").select("node", "pivot").distinct()
-        links = stored(_confirm(nearest(outside), texts), "links")
-        parts = stored(connected_components(steps_of(parts).unionByName(links)), "parts")
-        rounds += [links, parts]
+    placed = by_part(parts)
+    outside = placed.join(largest_parts(placed), "key").filter("part != main").select("node", F.explode("pivots").alias("pivot"))
+    links = _confirm(nearest(outside), texts)
+    joined = stored(connected_components(steps_of(parts).unionByName(links)), "parts")
 
     # buckets that still hold several components: pairs between those. Rows of a bucket's largest component, which may
     # be nearly all of a hot bucket, meet rows outside of it only. A pair is made in the first bucket it shares: a bucket
     # with two components is open, so all that it shares are
-    placed = by_part(parts)
-    open_rows = placed.join(largest_parts(placed, TURNS).drop("pivot"), "key")
+    placed = by_part(joined)
+    open_rows = placed.join(largest_parts(placed).drop("pivots"), "key")
+    traits = nodes.select("node", "n_shingles", "n_samples", "sketch", "bands")
     open_rows = stored(open_rows.join(traits.toDF("node", "n", "s", "sketch", "bands"), "node"), "open")
     outside = open_rows.filter("part != main").drop("main")
     other = open_rows.toDF("node2", "key", "part2", "main", "n2", "s2", "sketch2", "bands2")
@@ -235,11 +231,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         & _possible("n", "n2", "s", "s2", "sketch", "sketch2")
         & (F.array_intersect("bands", "bands2")[0] == outside.key),
     )
-    untried = crossing.select(F.greatest("node", "node2").alias("a"), F.least("node", "node2").alias("b"))
-    untried = untried.join(tried, ["a", "b"], "left_anti")
-    more = _confirm(untried, texts)
-    whole = stored(connected_components(steps_of(parts).unionByName(more)), "parts")
-    for frame in (*rounds, open_rows):
+    more = _confirm(crossing.select(F.greatest("node", "node2").alias("a"), F.least("node", "node2").alias("b")), texts)
+    whole = stored(connected_components(steps_of(joined).unionByName(more)), "parts")
+    for frame in (texts, members, ties, parts, joined, open_rows):
         discard(frame)
 
     of_set = sets.join(whole, "node", "left").select("d0", "d1", F.coalesce("component", "node").alias("of_set"))
