@@ -1,7 +1,7 @@
 """Removal of repeated passages by overlapping windows of three lines. DataFrame functions only.
 
 Every run of three consecutive lines is hashed. Of a window that occurs more than once anywhere, the first occurrence
-(by document id, then place) stays; lines covered by a later occurrence go. Windows overlap, so a passage of n lines is
+(by document id, then place) stays; lines covered by a later occurrence go, unless it overlaps the first. Windows overlap, so a passage of n lines is
 n - 2 repeated windows whose covered positions merge into one cut.
 
 A window travels as its digest with id and place. Counts and first occurrences are combined before the shuffle, so a
@@ -50,7 +50,9 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     place = F.struct("id", "version", "pos")
     repeated = windows.groupBy("window").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     repeated = repeated.filter(F.col("first") != F.col("last")).drop("last")
-    later = windows.join(repeated, "window").filter(place > F.col("first"))
+    # the first occurrence stays whole: one that overlaps it in its own document does not count
+    overlaps = (F.col("id") == F.col("first.id")) & (F.col("version") == F.col("first.version")) & (F.col("pos") < F.col("first.pos") + LINES)
+    later = windows.join(repeated, "window").filter((place > F.col("first")) & ~overlaps)
     spots = later.groupBy("id", "version").agg(F.sort_array(F.collect_set("pos")).alias("spots"))
 
     joined = base.join(spots, ["id", "version"], "left").withColumns(

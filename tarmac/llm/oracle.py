@@ -126,7 +126,8 @@ lines AS (
   FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
 ), later AS (
   SELECT doc_id, pos FROM runs WHERE trim(translate(run, chr(10) || chr(9) || chr(13), '   ')) <> ''
-  QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) > 1
+  WINDOW own AS (PARTITION BY run ORDER BY doc_id, pos)
+  QUALIFY row_number() OVER own > 1 AND NOT (doc_id = first_value(doc_id) OVER own AND pos < first_value(pos) OVER own + 3)
 ), kept AS (
   SELECT doc_id, pos, line FROM lines n
   WHERE NOT EXISTS (SELECT 1 FROM later r WHERE r.doc_id = n.doc_id AND r.pos = n.pos)

@@ -62,6 +62,12 @@ def test_lines_as_written(spark):
     assert line_dedup.drop_repeated_lines(frame.limit(0)).count() == 0
 
 
+def test_the_first_occurrence_of_lines_stays_whole(spark):
+    rows = [(1, "a\na\na\na"), (2, "a\na\na"), (3, "b\nb\nb\nb\nb\nb\nb"), (4, "c\nd\nc\nd\nc"), (5, "x\nd\nc\nd")]
+    got = {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: "a\na\na\na", 2: "", 3: "b\nb\nb", 4: "c\nd\nc\nd\nc", 5: "x"}
+
+
 def test_licenses_in_other_spellings(spark):
     mit = dict((n, t) for n, t in licenses.KNOWN if len(t) > 500)["MIT"]
     rows = [(1, "Copyright (c) 2020 X\n" + mit.upper().replace(",", " ;")), (2, "text\nreleased under the MIT licence\nmore"), (3, None), (4, ""), (5, "..."), (2, "Licensed under CC BY NC 4.0"), (None, "SPDX-License-Identifier: MIT"), (6, "no license here " * 9_000)]
