@@ -41,8 +41,8 @@ def apply_defaults(df: DataFrame, table: Table, run_ts: dt.datetime) -> DataFram
     return df.withColumns({**missing, **nullable}) if missing or nullable else df
 
 
-def _assigned(df: DataFrame, table: Table, name: str) -> Column:
-    """Cast one column to its declared type; a value that does not fit ends the job."""
+def assignment(df: DataFrame, table: Table, name: str) -> tuple[Column, list[tuple[Column, str]]]:
+    """One column cast to its declared type, and what can be wrong with a value: (condition, text)."""
     column = table[name]
     source = F.col(name)
     # a decimal is rounded on assignment to an integer column, as databases do
@@ -54,8 +54,14 @@ def _assigned(df: DataFrame, table: Table, name: str) -> Column:
         problems.append((F.length(checked) > column.width, f"is longer than {column.width}"))
     if column.required:
         problems.append((source.isNull(), "must not be NULL"))
+    return checked, problems
+
+
+def _assigned(df: DataFrame, table: Table, name: str) -> Column:
+    """Cast one column to its declared type; a value that does not fit ends the job."""
+    checked, problems = assignment(df, table, name)
     errors = [
-        (broken, F.raise_error(F.lit(f"{table.name}.{name} {text}")).cast(column.type)) for broken, text in problems
+        (broken, F.raise_error(F.lit(f"{table.name}.{name} {text}")).cast(table[name].type)) for broken, text in problems
     ]
     return first_match(errors, checked).alias(name)
 

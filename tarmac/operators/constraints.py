@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.schemas import Table
@@ -30,6 +30,19 @@ def duplicate_keys(df: DataFrame, keys: list[str], label: str) -> DataFrame:
     )
 
 
+def duplicate_keys_in(df: DataFrame, keys: dict[str, list[str]]) -> DataFrame:
+    """``duplicate_keys`` for several keys of one table (label -> columns), which is read once."""
+
+    def key(label: str, columns: list[str]) -> Column:
+        present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+        text = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
+        return F.struct(F.lit(label).alias("check_name"), F.when(present, text).alias("key_value"))
+
+    rows = df.select(F.inline(F.array(*[key(label, columns) for label, columns in keys.items()])))
+    counted = rows.filter("key_value IS NOT NULL").groupBy("check_name", "key_value").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.filter("n_rows > 1")
+
+
 def require_unique(df: DataFrame, keys: list[str], label: str) -> None:
     """Stop a load whose rows hold one key twice."""
     found = duplicate_keys(df, keys, label).take(1)
@@ -90,6 +103,23 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
     )
 
 
+def orphans_in(child: DataFrame, references: list[tuple[str, str, DataFrame, str]]) -> DataFrame:
+    """``orphans`` for several references of one table: (label, column, parent, parent column). The child is read once.
+
+    Its rows are counted per column and value, whatever the number of references of a column.
+    """
+    columns = sorted({column for _, column, _, _ in references})
+    values = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("key_value")) for c in columns])
+    used = child.select(F.inline(values)).filter("key_value IS NOT NULL").groupBy("column", "key_value").agg(F.count(F.lit(1)).alias("n_rows"))
+    labels = F.create_map(*[part for c in columns for part in (F.lit(c), F.array(*[F.lit(label) for label, own, _, _ in references if own == c]))])
+    asked = used.select(F.explode(F.element_at(labels, F.col("column"))).alias("check_name"), "key_value", "n_rows")
+    known = reduce(
+        DataFrame.unionByName,
+        [parent.select(F.lit(label).alias("check_name"), F.col(key).cast("string").alias("key_value")) for label, _, parent, key in references],
+    )
+    return asked.join(known, ["check_name", "key_value"], "left_anti")
+
+
 def violations(table: Table, df: DataFrame, parents: dict[str, DataFrame]) -> DataFrame:
     """All declared constraints of one table as (check_name, key_value, n_rows); empty when all hold."""
     parts = [duplicate_keys(df, list(key), f"{table.name} unique {','.join(key)}") for key in table.unique]

@@ -520,6 +520,45 @@ FROM lineage GROUP BY ALL""",
     "lineage_gap": f"""WITH {EDGES}
 SELECT src AS dataset, CAST(sum(n_events) AS BIGINT) AS n_reads FROM edges
 WHERE kind = 'read' AND src NOT IN (SELECT dst FROM edges WHERE kind = 'write') GROUP BY src""",
+    # time cut at every point of a dataset; a piece counts if some read and no write covers its start
+    "lineage_gaps_over_time": f"""WITH {DOCS},
+uses AS (
+  SELECT 'warehouse/public.t_' || n AS dataset, 1 AS reads, 0 AS writes, ts AS a, ts + INTERVAL 6 HOUR AS z
+  FROM (SELECT in_1 AS n, ts FROM docs WHERE state = 'START' UNION ALL SELECT in_2, ts FROM docs WHERE state = 'START')
+  UNION ALL SELECT 'warehouse/public.t_' || outp, 0, 1, ts, ts + INTERVAL 1 DAY FROM docs WHERE state = 'COMPLETE'
+),
+points AS (SELECT DISTINCT dataset, t FROM (SELECT dataset, a AS t FROM uses UNION ALL SELECT dataset, z FROM uses)),
+pieces AS (SELECT dataset, t, lead(t) OVER (PARTITION BY dataset ORDER BY t) AS until FROM points),
+judged AS (
+  SELECT p.dataset, p.t, p.until, coalesce(max(u.reads), 0) > 0 AND coalesce(max(u.writes), 0) = 0 AS lacking
+  FROM pieces p LEFT JOIN uses u ON u.dataset = p.dataset AND u.a <= p.t AND p.t < u.z GROUP BY ALL
+),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY t) - row_number() OVER (PARTITION BY dataset, lacking ORDER BY t) AS island
+  FROM judged
+)
+SELECT dataset, min(t) AS gap_from, max(until) AS gap_to FROM numbered WHERE lacking GROUP BY dataset, island""",
+    "lineage_class_edges": f"""WITH RECURSIVE {DOCS},
+numbers AS (SELECT DISTINCT unnest([in_1, in_2, outp]) AS n FROM docs),
+named AS (
+  SELECT n, 'postgres://warehouse-a:5432/defaultdb.public.t_' || n AS a, 'postgres://warehouse-b:5432/postgres.public.t_' || n AS b,
+         'postgres://warehouse-a:5432/defaultdb.public.t_' || (n + 1) AS following FROM numbers
+),
+pairs AS (
+  SELECT a AS x, b AS y FROM named UNION SELECT b, a FROM named
+  UNION SELECT a, following FROM named WHERE n % 4 <> 3 UNION SELECT following, a FROM named WHERE n % 4 <> 3
+),
+reach(x, y) AS (SELECT x, x FROM pairs UNION SELECT r.x, p.y FROM reach r JOIN pairs p ON p.x = r.y),
+classes AS (SELECT x, min(y) AS class FROM reach GROUP BY x),
+edges AS (
+  SELECT src, dst, kind, count(DISTINCT event_id) AS n_events FROM (
+    SELECT event_id, host || '/' || db || '.public.t_' || in_1 AS src, 'job:scheduler/' || job AS dst, 'read' AS kind FROM docs
+    UNION ALL SELECT event_id, host || '/' || db || '.public.t_' || in_2, 'job:scheduler/' || job, 'read' FROM docs
+    UNION ALL SELECT event_id, 'job:scheduler/' || job, host || '/' || db || '.public.t_' || outp, 'write' FROM docs
+  ) GROUP BY ALL
+)
+SELECT coalesce(s.class, src) AS src, coalesce(d.class, dst) AS dst, kind, CAST(sum(n_events) AS BIGINT) AS n_events
+FROM edges LEFT JOIN classes s ON s.x = src LEFT JOIN classes d ON d.x = dst GROUP BY ALL""",
     "lineage_column_edges": f"""WITH {DOCS},
 {LINEAGE}
 SELECT 'warehouse/public.t_' || outp AS dataset, col AS column_name, 'warehouse/public.' || src AS src_dataset,
@@ -551,6 +590,39 @@ all_ends AS (
 SELECT 'warehouse/public.t_' || outp AS dataset, col AS column_name, 'warehouse/public.' || src AS src_dataset,
        field AS src_column, status, count(*) AS n_events
 FROM all_ends GROUP BY ALL""",
+    # the columns of collapsed entries, as above; a group is what reaches each other
+    "lineage_column_origins": f"""WITH RECURSIVE {DOCS},
+links AS (
+  SELECT DISTINCT 'warehouse/public.t_' || n || '/' || field AS src, 'warehouse/public.t_' || outp || '/' || col AS dst FROM (
+    SELECT in_1 AS n, outp, field, col FROM docs, (VALUES ('c_1', 'c_1'), ('c_2', 'c_2'), ('c_0', 'c_0'), ('c_0', 'stage_a')) v(field, col)
+    WHERE NOT is_start
+    UNION ALL
+    SELECT in_2, outp, field, col FROM docs, (VALUES ('c_0', 'c_2'), ('c_2', 'c_0'), ('c_2', 'stage_a'), ('c_2', 'stage_b')) v(field, col)
+    WHERE NOT is_start
+  )
+),
+nodes AS (SELECT src AS node FROM links UNION SELECT dst FROM links),
+reach(x, y) AS (SELECT src, dst FROM links UNION SELECT r.x, l.dst FROM reach r JOIN links l ON l.src = r.y),
+grouped AS (
+  SELECT node, coalesce(min(least(node, a.y)), node) AS grp, bool_or(a.y = node) AS in_cycle
+  FROM nodes LEFT JOIN (SELECT f.x, f.y FROM reach f JOIN reach t ON t.x = f.y AND t.y = f.x) a ON a.x = node GROUP BY node
+),
+entered AS (
+  SELECT DISTINCT d.grp FROM links JOIN grouped s ON s.node = src JOIN grouped d ON d.node = dst WHERE s.grp <> d.grp
+),
+sources AS (SELECT node, grp FROM grouped WHERE grp NOT IN (SELECT grp FROM entered)),
+walked(node, hops) AS (
+  SELECT node, 0 FROM sources UNION SELECT dst, hops + 1 FROM walked JOIN links ON src = node WHERE hops < 60
+),
+near AS (SELECT node, min(hops) AS hops FROM walked GROUP BY node),
+came(node, origin) AS (
+  SELECT node, grp FROM sources
+  UNION
+  SELECT l.dst, c.origin FROM came c JOIN near n ON n.node = c.node JOIN links l ON l.src = c.node
+  JOIN near m ON m.node = l.dst AND m.hops = n.hops + 1
+)
+SELECT near.node AS "column", min(origin) AS origin_column, CAST(near.hops AS INTEGER) AS hops, coalesce(any_value(in_cycle), FALSE) AS in_cycle
+FROM near JOIN came ON came.node = near.node JOIN grouped ON grouped.node = near.node GROUP BY near.node, near.hops""",
     "lineage_schema_check": f"""WITH {DOCS},
 {SCHEMAS},
 ends AS (SELECT outp AS n, count(*) AS n_events FROM docs WHERE NOT is_start GROUP BY outp),
@@ -608,9 +680,61 @@ SELECT *, (epoch_us(complete_time) - epoch_us(start_time)) / 1000000.0::DOUBLE A
 FROM runs""",
 }
 
+_BROKEN = """broken AS (
+  SELECT customer_id, first_name IS NULL AS a, date_of_birth IS NULL AS b, length(email) > 23 AS c, email IS NULL AS d,
+         length(address_line1) > 17 AS e, CAST(zip_code AS INTEGER) > 32767 AS f
+  FROM contacts
+),
+problems AS (
+  SELECT customer_id, concat_ws(', ', CASE WHEN a THEN 'first_name must not be NULL' END, CASE WHEN b THEN 'date_of_birth must not be NULL' END,
+         CASE WHEN c THEN 'email is longer than 23' END, CASE WHEN d THEN 'email must not be NULL' END,
+         CASE WHEN e THEN 'address_line1 is longer than 17' END, CASE WHEN f THEN 'zip_code does not fit smallint' END) AS problem
+  FROM broken
+)"""
+
+_COUNTED = [
+    *[(f"{c} does not fit {t}", "count_if(FALSE)") for c, t in (("customer_id", "bigint"), ("first_name", "string"), ("date_of_birth", "date"), ("email", "string"), ("address_line1", "string"))],
+    ("customer_id must not be NULL", "count_if(FALSE)"), ("first_name is longer than 50", "count_if(FALSE)"), ("rows", "count(*)"), ("broken", "count_if(a OR b OR c OR d OR e OR f)"),
+    ("first_name must not be NULL", "count_if(a)"), ("date_of_birth must not be NULL", "count_if(b)"), ("email is longer than 23", "count_if(c)"),
+    ("email must not be NULL", "count_if(d)"), ("address_line1 is longer than 17", "count_if(e)"), ("zip_code does not fit smallint", "count_if(f)"),
+]
+
+
+def _sketched(name: str, distinct: str, median: str) -> str:
+    return (
+        f"SELECT '{name}' AS column_name, count(*) AS n_rows, count(*) - count({name}) AS n_nulls, CAST(min({name}) AS VARCHAR) AS min_value, "
+        f"CAST(max({name}) AS VARCHAR) AS max_value, {distinct} AS distinct_in_bounds, {median} AS median_in_bounds FROM disruptions"
+    )
+
+
+ORACLE |= {
+    "load_new_flights": f"""WITH {FLIGHTS}
+SELECT * REPLACE ('SCHEDULED' AS status, CAST(0 AS BIGINT) AS passenger_count, TIMESTAMP '2020-06-15 12:00:00' AS created_at) FROM flights""",
+    "load_checked_contacts": f"WITH {CUSTOMERS},\n{_BROKEN}\n"
+    "SELECT 'target' AS place, 'false' AS problem, count(*) AS n_rows FROM problems WHERE problem = ''\n"
+    "UNION ALL SELECT 'quarantine', problem, count(*) FROM problems WHERE problem <> '' GROUP BY problem\n"
+    + "\n".join(f"UNION ALL SELECT 'count', '{text}', CAST({count} AS BIGINT) FROM broken" for text, count in _COUNTED),
+    "load_retention": f"""WITH {EVENTS},
+{EARLY_EVENTS},
+{CREW}
+SELECT count(DISTINCT c.crew_id) AS n_rows, count(*) AS n_disruptions FROM early_events e JOIN crew c ON c.crew_id = e.crew_id""",
+    "distinct_by_month": f"""WITH {EVENTS}
+SELECT severity, 'flight_id' AS value_name, count(DISTINCT flight_id) AS n_distinct FROM disruptions GROUP BY severity
+UNION ALL SELECT severity, 'crew_id', count(DISTINCT crew_id) FROM disruptions GROUP BY severity""",
+    "column_profile_sketches": f"WITH {EVENTS}\n"
+    + "\nUNION ALL ".join(
+        _sketched(name, "TRUE" if name in ("flight_id", "crew_id", "severity", "estimated_delay_mins") else "NULL", median)
+        for name, median in {
+            "disruption_id": "TRUE", "flight_id": "TRUE", "crew_id": "TRUE", "disruption_type": "NULL", "severity": "NULL", "description": "NULL",
+            "estimated_delay_mins": "TRUE", "cost_estimate": "TRUE", "reported_at": "NULL", "resolved_at": "NULL", "created_at": "NULL",
+        }.items()
+    ),
+}
+
 # loads end in what their queries give for the same rows, documents in JSON in what the documents themselves give
 ORACLE |= {
     "load_crew_workload": f"WITH {WORKLOAD}\nSELECT * REPLACE (TIMESTAMP '2020-06-15 18:00:00' AS refreshed_at) FROM workload",
+    "load_marketing_leads": f"SELECT * REPLACE (TIMESTAMP '2020-06-15 18:00:00' AS loaded_at) FROM ({ORACLE['marketing_leads']})",
     "load_invalid_email": f"WITH once AS ({ORACLE['invalid_email']}) SELECT * FROM once UNION ALL SELECT * FROM once",
     "load_disruption_summary": f"""WITH day_1 AS ({ORACLE["summary_upsert"]}),
 {FLIGHTS},

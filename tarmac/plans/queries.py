@@ -15,10 +15,14 @@ from tarmac import schemas
 from tarmac.functions.text import email_matches
 from tarmac.operators import (
     constraints,
+    dataset_classes,
+    distinct_rollup,
+    lineage_cycles,
     lineage_data,
     lineage_documents,
     lineage_graph,
     lineage_runs,
+    lineage_times,
     marketing,
     merge,
     quality,
@@ -26,11 +30,13 @@ from tarmac.operators import (
     views,
     workload,
 )
-from tarmac.operators.conform import conform, ensure_columns
+from tarmac.operators.conform import apply_defaults, conform, ensure_columns
 from tarmac.session import scratch_path, stored
 from tarmac.sinks import loads
+from tarmac.sinks.checked import checked_refresh
 from tarmac.sinks.documents import write_documents
-from tarmac.sinks.tables import reset
+from tarmac.sinks.retention import unused_folders
+from tarmac.sinks.tables import append, ensure_table, reset
 from tarmac.sources import bindings as b
 from tarmac.sources.lineage_events import SCHEDULER_FACET, read_documents, read_events
 from tarmac.streaming.run_pairing import pair_or_release, pair_runs, run_states, write_available
@@ -208,6 +214,71 @@ def load_invalid_email(spark: SparkSession, folder: str) -> DataFrame:
     return _loaded(spark, load)
 
 
+def load_marketing_leads(spark: SparkSession, folder: str) -> DataFrame:
+    """A refresh of the leads, then one at a later time that replaces all rows."""
+    customers, table = b.marketing_customer(spark, folder), schemas.MARKETING_LEADS.widened()
+
+    def load(name: str, place: str) -> None:
+        for run_ts in (b.RUN_TS, SECOND_RUN_TS):
+            loads.load_marketing_leads(customers, place, b.AS_OF, run_ts, name, table)
+
+    return _loaded(spark, load)
+
+
+def load_new_flights(spark: SparkSession, folder: str) -> DataFrame:
+    """Flights inserted without status, passengers and time of creation, which take their defaults."""
+    table = schemas.FLIGHTS.widened()
+    given = b.flights(spark, folder).drop("status", "passenger_count", "created_at")
+
+    def load(name: str, place: str) -> None:
+        ensure_table(spark, table, name, place)
+        append(apply_defaults(given, table, b.RUN_TS), table, name)
+
+    return _loaded(spark, load)
+
+
+#: Contacts that somebody can be written to: rules that many rows of the source break.
+REACHABLE = schemas.Table(
+    "reachable",
+    (
+        schemas.Column("customer_id", "bigint", True),
+        schemas.Column("first_name", "string", True, 50),
+        schemas.Column("date_of_birth", "date", True),
+        schemas.Column("email", "string", True, 23),
+        schemas.Column("address_line1", "string", False, 17),
+        schemas.Column("zip_code", "smallint"),
+    ),
+)
+
+
+def load_checked_contacts(spark: SparkSession, folder: str) -> DataFrame:
+    """What a load that sets broken rows apart leaves in the table, in the quarantine, and in the counts of its one pass."""
+    name, place = f"load_{uuid.uuid4().hex}", scratch_path(spark, "load")
+    counts = checked_refresh(b.marketing_customer(spark, folder), REACHABLE, name, f"{name}_broken", place)
+    problem, n_rows = F.array_join("problems", ", ").alias("problem"), F.count(F.lit(1)).alias("n_rows")
+    target = spark.table(name).select(F.lit("target").alias("place"), F.col("date_of_birth").isNull().cast("string").alias("problem"))
+    broken = spark.table(f"{name}_broken").select(F.lit("quarantine").alias("place"), problem)
+    found = stored(target.unionByName(broken).groupBy("place", "problem").agg(n_rows), "loaded")
+    reset(spark, [], [name, f"{name}_broken"])
+    counted = spark.createDataFrame([("count", text, n) for text, n in counts.items()], found.schema)
+    return found.unionByName(counted)
+
+
+def load_retention(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows in the folders that two refreshes leave without a table pointing at them."""
+    crew, events = b.crew_members(spark, folder), b.disruption_events(spark, folder)
+    name, place, table = f"load_{uuid.uuid4().hex}", scratch_path(spark, "load"), schemas.CREW_WORKLOAD_SUMMARY.widened()
+    for seen in (b.first_load_events(events), events):
+        loads.load_crew_workload(crew, seen, place, b.RUN_TS, name, table)
+    unused = unused_folders(spark, [name], place, dt.datetime(9999, 1, 1), dt.timedelta(days=1))
+    # one row per load
+    folders = [r.folder for r in unused.collect()]
+    rows = spark.read.schema(table.schema).option("recursiveFileLookup", True).parquet(*folders)
+    counted = stored(rows.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("disruption_count").cast("bigint").alias("n_disruptions")), "unused")
+    reset(spark, [], [name])
+    return counted
+
+
 def staging_by_view(spark: SparkSession, folder: str) -> DataFrame:
     """The staging rows through the registered views, read by name."""
     events = b.disruption_events(spark, folder, open_crew_only=True)
@@ -219,18 +290,14 @@ def staging_by_view(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def check_unique(spark: SparkSession, folder: str) -> DataFrame:
-    events, flights = b.disruption_events(spark, folder), b.flights(spark, folder)
-    crew = b.crew_members(spark, folder)
     checked = [
-        (events, "disruption_id", "disruption_events"),
-        (flights, "flight_id", "flights"),
-        (flights, "flight_number", "flights"),
-        (crew, "crew_id", "crew_members"),
-        (crew, "employee_id", "crew_members"),
+        (b.disruption_events(spark, folder), "disruption_events", ["disruption_id"]),
+        (b.flights(spark, folder), "flights", ["flight_id", "flight_number"]),
+        (b.crew_members(spark, folder), "crew_members", ["crew_id", "employee_id"]),
     ]
     return reduce(
         DataFrame.unionByName,
-        [constraints.duplicate_keys(df, [key], f"{name}.{key}") for df, key, name in checked],
+        [constraints.duplicate_keys_in(df, {f"{name}.{key}": [key] for key in keys}) for df, name, keys in checked],
     )
 
 
@@ -248,16 +315,13 @@ def check_not_null(spark: SparkSession, folder: str) -> DataFrame:
 
 def check_fk(spark: SparkSession, folder: str) -> DataFrame:
     """References of events, and events whose crew member is no longer in service."""
-    events, crew = b.disruption_events(spark, folder), b.crew_members(spark, folder)
-    in_service = crew.filter("status <> 'GROUNDED'")
-    return reduce(
-        DataFrame.unionByName,
-        [
-            constraints.orphans(events, "flight_id", b.flights(spark, folder), "flight_id", "flight known"),
-            constraints.orphans(events, "crew_id", crew, "crew_id", "crew known"),
-            constraints.orphans(events, "crew_id", in_service, "crew_id", "crew in service"),
-        ],
-    )
+    crew = b.crew_members(spark, folder)
+    references = [
+        ("flight known", "flight_id", b.flights(spark, folder), "flight_id"),
+        ("crew known", "crew_id", crew, "crew_id"),
+        ("crew in service", "crew_id", crew.filter("status <> 'GROUNDED'"), "crew_id"),
+    ]
+    return constraints.orphans_in(b.disruption_events(spark, folder), references)
 
 
 def check_length(spark: SparkSession, folder: str) -> DataFrame:
@@ -313,6 +377,33 @@ def column_profile(spark: SparkSession, folder: str) -> DataFrame:
     return quality.column_profile(sample, PROFILE_COLUMNS, "marketing_customer")
 
 
+def column_profile_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """Profile of all columns of the events from stored sketches of each month; estimates against exact values."""
+    events = b.disruption_events(spark, folder)
+    month = F.date_format("reported_at", "yyyy-MM")
+    sketches = stored(quality.profile_sketches(events, month), "sketches")
+    profile = stored(quality.merged_profile(sketches, events.schema), "profile")
+    # one row per column
+    found = {r.column_name: r for r in profile.select("column_name", "n_distinct", "median").collect()}
+    exact = ["flight_id", "crew_id", "severity", "estimated_delay_mins"]
+    medians = [c for c, r in found.items() if r.median is not None]
+    below = [F.avg((F.col(c) < found[c].median).cast("int")).alias(f"below_{c}") for c in medians]
+    up_to = [F.avg((F.col(c) <= found[c].median).cast("int")).alias(f"up_to_{c}") for c in medians]
+    checked = events.agg(*[F.count_distinct(c).alias(f"n_{c}") for c in exact], *below, *up_to)
+    distinct = F.array(*[F.struct(F.lit(c).alias("column_name"), (F.abs(F.col(f"n_{c}") - found[c].n_distinct) <= 0.07 * F.col(f"n_{c}")).alias("distinct_in_bounds")) for c in exact])
+    median = F.array(*[F.struct(F.lit(c).alias("column_name"), ((F.col(f"below_{c}") <= 0.53) & (F.col(f"up_to_{c}") >= 0.47)).alias("median_in_bounds")) for c in medians])
+    both = stored(checked.select(distinct.alias("d"), median.alias("m")), "checked")
+    shown = profile.drop("n_distinct", "median")
+    return shown.join(both.select(F.inline("d")), "column_name", "left").join(both.select(F.inline("m")), "column_name", "left")
+
+
+def distinct_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    """Different flights and crew members per severity, from bitmaps that were stored for each month."""
+    events = b.disruption_events(spark, folder).withColumn("month", F.date_format("reported_at", "yyyy-MM"))
+    bitmaps = stored(distinct_rollup.value_bitmaps(events, ["month", "severity"], ["flight_id", "crew_id"]), "bitmaps")
+    return distinct_rollup.united_counts(bitmaps, ["severity"])
+
+
 # -- lineage ---------------------------------------------------------------------------------------
 
 
@@ -418,6 +509,22 @@ def lineage_gap(spark: SparkSession, folder: str) -> DataFrame:
     return lineage_data.lineage_gap(lineage_edges(spark, folder))
 
 
+def lineage_gaps_over_time(spark: SparkSession, folder: str) -> DataFrame:
+    """When a table was wanted, six hours from each START on, and not valid, a day from each COMPLETE on."""
+
+    def name(namespace: F.Column, table: F.Column) -> F.Column:
+        return lineage_data.dataset_id(namespace, table, b.ALIASES)
+
+    return lineage_times.gaps_over_time(lineage_times.dataset_uses(b.lineage_events(spark, folder), name, "6 HOURS", "1 DAY"))
+
+
+def lineage_class_edges(spark: SparkSession, folder: str) -> DataFrame:
+    """Edges between classes of datasets that pairs of names, in chains, declare to be the same."""
+    edges = lineage_data.dataset_edges(b.lineage_events(spark, folder), {})
+    classes = dataset_classes.alias_classes(b.dataset_aliases(spark, folder))
+    return dataset_classes.in_classes(edges, ["src", "dst"], classes).groupBy("src", "dst", "kind").agg(F.sum("n_events").alias("n_events"))
+
+
 def lineage_column_edges(spark: SparkSession, folder: str) -> DataFrame:
     return lineage_data.column_edges(b.lineage_events(spark, folder), b.ALIASES)
 
@@ -426,6 +533,14 @@ def lineage_collapse(spark: SparkSession, folder: str) -> DataFrame:
     return lineage_data.collapse_intermediates(b.lineage_events(spark, folder), b.ALIASES)
 
 
+def lineage_column_origins(spark: SparkSession, folder: str) -> DataFrame:
+    """Where the columns of all tables come from in the end, over the events of all runs, through cycles."""
+    found = lineage_data.collapse_intermediates(b.lineage_events(spark, folder), b.ALIASES).filter("status <> 'unresolved'")
+    edges = found.select(F.concat_ws("/", "src_dataset", "src_column").alias("src"), F.concat_ws("/", "dataset", "column_name").alias("dst"))
+    paths = lineage_cycles.origins(stored(edges, "column-edges"))
+    return paths.select(F.col("node").alias("column"), F.col("origin").alias("origin_column"), "hops", "in_cycle")
+
+
 def lineage_schema_check(spark: SparkSession, folder: str) -> DataFrame:
     return lineage_data.lineage_schema_check(b.lineage_events(spark, folder), b.ALIASES)
 
@@ -481,6 +596,10 @@ QUERIES: dict[str, Query] = {
     "load_disruption_summary": load_disruption_summary,
     "load_crew_workload": load_crew_workload,
     "load_invalid_email": load_invalid_email,
+    "load_marketing_leads": load_marketing_leads,
+    "load_new_flights": load_new_flights,
+    "load_checked_contacts": load_checked_contacts,
+    "load_retention": load_retention,
     "staging_by_view": staging_by_view,
     "check_unique": check_unique,
     "check_not_null": check_not_null,
@@ -488,6 +607,8 @@ QUERIES: dict[str, Query] = {
     "check_length": check_length,
     "dq_sla": dq_sla,
     "column_profile": column_profile,
+    "column_profile_sketches": column_profile_sketches,
+    "distinct_by_month": distinct_by_month,
     "lineage_events": lineage_events,
     "run_pairing": run_pairing,
     "event_consistency": event_consistency,
@@ -499,8 +620,11 @@ QUERIES: dict[str, Query] = {
     "json_run_pairing": json_run_pairing,
     "json_schema_drift": json_schema_drift,
     "lineage_gap": lineage_gap,
+    "lineage_gaps_over_time": lineage_gaps_over_time,
+    "lineage_class_edges": lineage_class_edges,
     "lineage_column_edges": lineage_column_edges,
     "lineage_collapse": lineage_collapse,
+    "lineage_column_origins": lineage_column_origins,
     "lineage_schema_check": lineage_schema_check,
     "schema_drift": schema_drift,
     "lineage_upstream": lineage_upstream,

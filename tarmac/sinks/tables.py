@@ -2,8 +2,8 @@
 
 A refresh or upsert writes a new folder and then points the table (or the partition) at it in the catalog; an append
 adds files to the folder in use. With the former, readers see the old rows or the new ones, never an empty or half-written table, and a load that fails
-leaves the table as it was. One writer per table is assumed. Old folders are left to the operator of
-the storage, since readers may still use them.
+leaves the table as it was. One writer per table is assumed. Old folders stay, since readers may still use them, until
+``retention.remove_unused`` takes them.
 """
 
 from __future__ import annotations
@@ -11,13 +11,18 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.operators.conform import conform
 from tarmac.operators.constraints import require_unique
 from tarmac.operators.merge import upsert_rows
 from tarmac.schemas import Table, sql_literal
+from tarmac.sinks.journal import Journal
+
+
+#: Part of the name of a journal's folder.
+JOURNAL = "-journal-"
 
 
 def ensure_table(spark: SparkSession, table: Table, name: str, location: str) -> None:
@@ -74,34 +79,70 @@ def upsert(
     Only the partitions that occur in the source are read and rewritten; rows of theirs without a new
     version stay. The source is written out once, because several steps read it. A key that occurs
     twice in the source ends the load.
+
+    Partitions switch one after the other. What is to be switched is written down first, with the last generated id; if the load dies
+    in between, the next one (or ``finish_upsert``) switches the rest before it does anything else.
     """
     spark = source.sparkSession
     ensure_table(spark, table, name, location)
+    finish_upsert(spark, name, location)
     (part,) = table.partition_by
     folder = _new_folder(location, name)
 
     staged_at = f"{folder}-source"
     source.write.parquet(staged_at)
     staged = spark.read.parquet(staged_at)
-    require_unique(staged, list(keys), name)
 
     # one value per partition that is rewritten; the catalog calls below need them by name
     values = [row[0] for row in staged.select(part).distinct().collect()]
     current = spark.table(name).select(*table.names)
-    last_id = current.agg(F.max(id_column)).first()[0] or 0
+    journal = _journal(spark, name, location)
+    before = journal.last()
+    last_id = before["last_id"] if before else current.agg(F.max(id_column)).first()[0] or 0
     merged = upsert_rows(
         current.filter(F.col(part).isin(*values)), staged, list(keys), list(updates), id_column, last_id
     )
-    conform(merged, table).write.partitionBy(part).parquet(folder)
-
-    for value in values:
-        spec = f"PARTITION ({part} = {sql_literal(value)})"
-        place = f"{folder}/{part}={value}"
+    seen = Observation()
+    conform(merged, table).observe(seen, F.max(id_column).alias("last_id")).write.partitionBy(part).parquet(folder)
+    intent = {
+        "folder": folder,
+        "part": part,
+        "values": [str(value) for value in values],
+        "last_id": max(last_id, seen.get["last_id"] or 0),
+    }
+    number = journal.begin(intent)
+    _switch(spark, name, intent)
+    journal.finish(number)
+
+
+def _journal(spark: SparkSession, name: str, location: str) -> Journal:
+    """The journal of the table as it was created; one that is dropped and created again starts a new one."""
+    state = spark._jsparkSession.sessionState()
+    created = state.catalog().getTableMetadata(state.sqlParser().parseTableIdentifier(name)).createTime()
+    return Journal(spark, f"{location.rstrip('/')}/{name.replace('.', '_')}{JOURNAL}{created}")
+
+
+def _switch(spark: SparkSession, name: str, intent: dict) -> None:
+    """Point the partitions of an intent at its folder. Doing it again changes nothing."""
+    for value in intent["values"]:
+        spec = f"PARTITION ({intent['part']} = {sql_literal(value)})"
+        place = f"{intent['folder']}/{intent['part']}={value}"
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {spec} LOCATION '{place}'")
         spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION '{place}'")
     spark.catalog.refreshTable(name)
 
 
+def finish_upsert(spark: SparkSession, name: str, location: str) -> bool:
+    """Switch what an upsert that died had still to switch; whether there was such a one."""
+    journal = _journal(spark, name, location)
+    last = journal.last()
+    if last is None or last["done"]:
+        return False
+    _switch(spark, name, last)
+    journal.finish(last["number"])
+    return True
+
+
 def reset(spark: SparkSession, views: Sequence[str], tables: Sequence[str]) -> None:
     """Drop views, then tables, where they exist; safe to run again."""
     for view in views:

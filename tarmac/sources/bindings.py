@@ -341,6 +341,23 @@ def event_documents(events: DataFrame, *more: Column) -> DataFrame:
     return events.select(*[fields[name].alias(name) for name in schema_of.names], *more)
 
 
+def dataset_aliases(spark: SparkSession, folder: str) -> DataFrame:
+    """(name, alias): every table under its two addresses, and tables 4n to 4n + 3 of the first address in a chain."""
+    events = star_table(spark, folder, "events")
+    second = F.regexp_extract("props", r"(\d+)", 1).cast("bigint")
+    numbers = events.select(F.explode(F.array("user_id", second, F.floor(F.col("user_id") / 2))).alias("n")).distinct()
+
+    def at(address: str, n: Column) -> Column:
+        return F.concat(F.lit(address), n.cast("string"))
+
+    here, there, n = "postgres://warehouse-a:5432/defaultdb.public.t_", "postgres://warehouse-b:5432/postgres.public.t_", F.col("n")
+    pairs = F.array(
+        F.struct(at(here, n).alias("name"), at(there, n).alias("alias")),
+        F.when(n % 4 != 3, F.struct(at(here, n).alias("name"), at(here, n + 1).alias("alias"))),
+    )
+    return numbers.select(F.inline(F.filter(pairs, lambda pair: pair.isNotNull())))
+
+
 def _spread(rows: DataFrame) -> DataFrame:
     """Rows over all cores where their files would leave some without work: a document is many times its row."""
     cores = rows.sparkSession.sparkContext.defaultParallelism

@@ -15,7 +15,7 @@ from tests import fixtures as fx
 from tests.compare import compare, connect
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-STATEFUL = {"lineage_upstream", "lineage_downstream", "streaming_run_pairing"}
+STATEFUL = {"lineage_upstream", "lineage_downstream", "streaming_run_pairing", "streaming_run_states"}
 
 
 def plan_of(df, mode="formatted"):
