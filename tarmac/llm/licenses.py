@@ -11,7 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+#: A notice with or without comment marks before it. License texts themselves have lines that begin with "copyright holders", so the
+#: word alone is none: a mark, a colon, "by" or a year must follow.
+COPYRIGHT_LINE = (
+    r"(^|\n)[ \t#*;/%!-]*(copyright([ \t]*(\(c\)|©|:|by[ \t])|[^\n]*[0-9]{4})|\(c\)|©|all rights reserved)[^\n]*"
+)
 NO_WORD = r"[^\p{L}\p{N}]+"
 
 # Spellings that count as equal in license texts, after punctuation is gone.
@@ -52,6 +56,41 @@ INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS
 ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
 THIS SOFTWARE."""
 
+_BSD_SOURCE = """Redistributions of source code must retain the above copyright notice, this list of conditions and the
+following disclaimer."""
+
+_BSD_BINARY = """Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the
+following disclaimer in the documentation and/or other materials provided with the distribution."""
+
+_BSD_NAME = """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission."""
+
+_BSD_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR
+PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT,
+INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE
+GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF
+THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+
+def _bsd(conditions: list[str], numbered: bool) -> str:
+    items = [f"{i}. {c}" if numbered else f"* {c}" for i, c in enumerate(conditions, 1)]
+    opening = """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met:"""
+    return "\n\n".join([opening, *items, _BSD_DISCLAIMER])
+
+
+def _whole_texts() -> list[tuple[str, str]]:
+    """Whole licenses, with the usual headings and without, lists with numbers or marks."""
+    found = [("MIT", ["MIT License", "The MIT License", "The MIT License (MIT)"], _MIT), ("ISC", ["ISC License", "ISC License (ISC)", "The ISC License"], _ISC)]
+    for numbered in (True, False):
+        two, three = [_BSD_SOURCE, _BSD_BINARY], [_BSD_SOURCE, _BSD_BINARY, _BSD_NAME]
+        found.append(("BSD-2-Clause", ["BSD 2-Clause License", "The 2-Clause BSD License"], _bsd(two, numbered)))
+        found.append(("BSD-3-Clause", ["BSD 3-Clause License", "The 3-Clause BSD License"], _bsd(three, numbered)))
+    return [(name, f"{heading}\n\n{text}" if heading else text) for name, headings, text in found for heading in [None, *headings]]
+
+
 # License names, and notices and texts that stand for them.
 KNOWN = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -66,13 +105,11 @@ KNOWN = [
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
-    ("ISC", _ISC),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "SPDX-License-Identifier: MIT"),
-    ("MIT", _MIT),
-    ("MIT", f"MIT License\n\nCopyright (c) the authors\n\n{_MIT}"),
     ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    *_whole_texts(),
 ]
 
 

@@ -20,6 +20,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,8 @@ REMEMBERED_WORDS = 1_000_000
 ENCODE_BYTES = 8 << 20
 NULL_ID = -(1 << 63)
 
-_PLAIN = re.compile(r"[a-zß-öø-ÿ]+\Z")
+#: Letters, and marks after them other than the apostrophe: the tokenizer splits these two and nothing else.
+_PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)\Z")
 
 
 class WordEncoder:
@@ -67,29 +69,43 @@ class WordEncoder:
         self.used = 0
 
     def _plain(self, word: str) -> list[int]:
-        return [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(word)]
 
     def _learn(self, words: list[str]) -> None:
-        found: dict[str, list[int]] = {}
+        codes: list[list[int] | None] = []
+        pieces: dict[str, list[int]] = {"": []}
         others = []
         for word in words:
-            if _PLAIN.match(word):
-                found[word] = self._plain(word)
-            elif word[-1:] in (".", ",") and _PLAIN.match(word[:-1]):
-                found[word] = self._plain(word[:-1]) + self._plain(word[-1])
-            else:
-                others.append(word)
-        for word, code in zip(others, self.tokenizer.encode_batch(others, add_special_tokens=False), strict=True):
-            found[word] = code.ids
-        for word, ids in found.items():
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            if len(self.slots) + 2 > len(self.ends):
-                self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.slots[word] = len(self.slots)
-            self.ends[len(self.slots)] = self.used
+            parts = _PLAIN.match(word)
+            if parts is None:
+                others.append(len(codes))
+                codes.append(None)
+                continue
+            stem, marks = parts.groups()
+            code = pieces.get(stem)
+            if code is None:
+                code = pieces[stem] = self._plain(stem)
+            if marks:
+                tail = pieces.get(marks)
+                if tail is None:
+                    tail = pieces[marks] = self._plain(marks)
+                code = code + tail
+            codes.append(code)
+        encoded = self.tokenizer.encode_batch([words[i] for i in others], add_special_tokens=False)
+        for i, code in zip(others, encoded, strict=True):
+            codes[i] = code.ids
+        lengths = np.fromiter(map(len, codes), np.int64, len(codes))
+        total, known = int(lengths.sum()), len(self.slots)
+        while self.used + total > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while known + len(codes) + 2 > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(codes), np.uint32, total)
+        self.ends[known + 1 : known + 1 + len(codes)] = self.used + np.cumsum(lengths)
+        self.used += total
+        self.slots.update(zip(words, range(known, known + len(codes)), strict=True))
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows one after the other, and how many each row has. NULL is empty."""

@@ -69,7 +69,7 @@ def test_the_first_occurrence_of_lines_stays_whole(spark):
 
 
 def test_licenses_in_other_spellings(spark):
-    mit = dict((n, t) for n, t in licenses.KNOWN if len(t) > 500)["MIT"]
+    mit = licenses._MIT
     rows = [(1, "Copyright (c) 2020 X\n" + mit.upper().replace(",", " ;")), (2, "text\nreleased under the MIT licence\nmore"), (3, None), (4, ""), (5, "..."), (2, "Licensed under CC BY NC 4.0"), (None, "SPDX-License-Identifier: MIT"), (6, "no license here " * 9_000)]
     got = [(r.doc_id, r.whole_license, r.line_licenses) for r in licenses.scan_licenses(data.clashing(spark.createDataFrame(rows, "doc_id long, text string"))).collect()]
     want = [(1, "MIT", []), (2, None, ["CC-BY-NC-4.0", "MIT"]), (3, None, []), (4, None, []), (5, None, []), (2, "CC-BY-NC-4.0", ["CC-BY-NC-4.0", "MIT"]), (None, "MIT", ["MIT"]), (6, None, [])]
@@ -77,6 +77,33 @@ def test_licenses_in_other_spellings(spark):
     assert licenses.scan_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def wrapped(text, width, mark=""):
+    words, lines, line = text.split(), [], ""
+    for word in words:
+        if line and len(line) + len(word) >= width:
+            lines, line = [*lines, mark + line], ""
+        line = f"{line} {word}" if line else word
+    return "\n".join([*lines, mark + line])
+
+
+def test_whole_licenses(spark):
+    """However lines are broken, with comment marks, headings and notices of all kinds."""
+    bsd = [licenses._BSD_SOURCE, licenses._BSD_BINARY, licenses._BSD_NAME]
+    texts = {
+        1: ("MIT", "The MIT License (MIT)\n\nCopyright (c) 2019 Some One\nCopyright 2020, Others\n\n" + wrapped(licenses._MIT, 60)),
+        2: ("MIT", "// Copyright: nobody\n//\n" + wrapped(licenses._MIT, 40, "// ")),
+        3: ("MIT", wrapped(licenses._MIT, 10_000)),
+        4: ("ISC", "/*\n * ISC License\n *\n * (c) 2001 x@example.com\n" + wrapped(licenses._ISC, 72, " * ") + "\n */"),
+        5: ("BSD-2-Clause", "# © 1999 X\n# All rights reserved.\n" + wrapped(licenses._bsd(bsd[:2], True), 75, "# ")),
+        6: ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright by X\n\n" + wrapped(licenses._bsd(bsd, False), 64)),
+        7: (None, licenses._MIT + "\nand more"),
+        8: (None, licenses._MIT.replace("without restriction", "")),
+    }
+    rows = [(i, text) for i, (_, text) in texts.items()]
+    got = {r.doc_id: r.whole_license for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: name for i, (name, _) in texts.items()}
+
+
 def test_token_counts_follow_changes_and_count_batches_once(spark):
     schema = "doc_id long, source string, lang string, version string, n_tokens long, op string, order int"
     rollup = token_counts.TokenRollup(spark, scratch_path(spark, "rollup"))
