@@ -34,11 +34,20 @@ def spark_type(facet_type: Column) -> Column:
     return F.coalesce(F.try_element_at(known, facet_type), facet_type)
 
 
-def dataset_id(namespace: Column, name: Column, aliases: Aliases) -> Column:
-    """Address and name as one text; aliased databases get their common name.
+def moved_address(namespace: Column, endpoints: Mapping[str, str]) -> Column:
+    """The address, or the one that replaces it (old -> new)."""
+    if not endpoints:
+        return namespace
+    known = F.create_map(*[F.lit(text) for pair in endpoints.items() for text in pair])
+    return F.coalesce(F.try_element_at(known, namespace), namespace)
+
+
+def dataset_id(namespace: Column, name: Column, aliases: Aliases, endpoints: Mapping[str, str] | None = None) -> Column:
+    """Address and name as one text; aliased databases get their common name, replaced addresses (old -> new) the new one.
 
     Only a listed (address, database) pair is replaced. Tables that merely share a name stay apart.
     """
+    namespace = moved_address(namespace, endpoints or {})
     plain = F.concat(namespace, F.lit("/"), name)
     if not aliases:
         return plain
@@ -98,14 +107,14 @@ def lineage_gap(edges: DataFrame) -> DataFrame:
     )
 
 
-def _outputs(events: DataFrame, aliases: Aliases) -> DataFrame:
+def _outputs(events: DataFrame, aliases: Aliases, endpoints: Mapping[str, str] | None = None) -> DataFrame:
     """One row per (event, output) that has column lineage."""
     declared = F.zip_with("inputs.namespace", "inputs.name", lambda ns, name: F.concat(ns, F.lit("/"), name))
     return (
         events.select(F.coalesce(declared, _no_texts()).alias("declared"), F.explode("outputs").alias("o"))
         .select(
             "declared",
-            dataset_id(F.col("o.namespace"), F.col("o.name"), aliases).alias("dataset"),
+            dataset_id(F.col("o.namespace"), F.col("o.name"), aliases, endpoints).alias("dataset"),
             F.col("o.facets.columnLineage.fields").alias("fields"),
             F.col("o.facets.schema.fields.name").alias("schema_columns"),
         )
@@ -113,15 +122,18 @@ def _outputs(events: DataFrame, aliases: Aliases) -> DataFrame:
     )
 
 
-def column_edges(events: DataFrame, aliases: Aliases) -> DataFrame:
-    """source column -> output column as written in the events, with the number of events."""
-    entries = _outputs(events, aliases).select("dataset", F.explode("fields").alias("column_name", "entry"))
+def column_edges(events: DataFrame, aliases: Aliases, endpoints: Mapping[str, str] | None = None) -> DataFrame:
+    """source column -> output column as written in the events, with the number of events.
+
+    ``endpoints`` replaces addresses (old -> new), as rewriting the documents with ``lineage_runs.align_endpoints`` would.
+    """
+    entries = _outputs(events, aliases, endpoints).select("dataset", F.explode("fields").alias("column_name", "entry"))
     return (
         entries.select("dataset", "column_name", F.explode(F.array_distinct("entry.inputFields")).alias("f"))
         .select(
             "dataset",
             "column_name",
-            dataset_id(F.col("f.namespace"), F.col("f.name"), aliases).alias("src_dataset"),
+            dataset_id(F.col("f.namespace"), F.col("f.name"), aliases, endpoints).alias("src_dataset"),
             F.col("f.field").alias("src_column"),
         )
         .groupBy("dataset", "column_name", "src_dataset", "src_column")

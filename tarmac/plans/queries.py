@@ -475,10 +475,8 @@ def json_rebase(spark: SparkSession, folder: str) -> DataFrame:
 
 def endpoint_alignment(spark: SparkSession, folder: str) -> DataFrame:
     """Datasets per address after the second address was replaced by the first."""
-    aligned = lineage_runs.align_endpoints(
-        b.lineage_events(spark, folder), {"postgres://warehouse-b:5432": "postgres://warehouse-a:5432"}
-    )
-    edges = lineage_data.column_edges(aligned, {})
+    endpoints = {"postgres://warehouse-b:5432": "postgres://warehouse-a:5432"}
+    edges = lineage_data.column_edges(b.lineage_events(spark, folder), {}, endpoints)
     return edges.groupBy("dataset", "src_dataset").agg(F.sum("n_events").alias("n_events"))
 
 
