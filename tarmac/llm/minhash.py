@@ -14,7 +14,7 @@ size test inside the join, which is work for the rows outside a bucket's largest
 With 128 samples in 32 bands of 4, a pair at exactly 0.75 is missed with probability 5e-6 and more similar ones far
 less often. The sketch test allows as many differing bits as sets at 0.75 have, and 4.5 standard deviations more: it drops
 one in 300,000 of the pairs at exactly 0.75, whatever their size (none of 15,700 simulated ones of 50 to 18,200 shingles; the
-farthest lay 3.2 deviations off). Of small sets it keeps few pairs below 0.65; two bitmaps of very long texts differ
+farthest lay 3.4 deviations off). Of small sets it keeps few pairs below 0.65; two bitmaps of very long texts differ
 in nearly half of their bits at 0.75 already, so more of those are left to the whole texts.
 """
 
@@ -139,7 +139,8 @@ def allowed_bits(n: Column, m: Column, samples: Column) -> Column:
     differ = samples * (F.lit(1.0) - F.lit(j) * (F.lit(1.0) - F.exp(-load * F.lit(2 / (1 + j)))) / filled)
     left_over = F.exp(-differ * F.lit(2 / SKETCH_BITS))
     mean = F.lit(SKETCH_BITS / 2) * (F.lit(1.0) - left_over)
-    folding = F.lit(SKETCH_BITS / 4) * (F.lit(1.0) - left_over * left_over)
+    # a fixed number of samples falls into the bits: less varies than where their number does too
+    folding = F.lit(SKETCH_BITS / 4) * (F.lit(1.0) - left_over * left_over) - differ * left_over * left_over
     sampling = F.lit(2.0) * differ * filled * left_over * left_over
     return mean + F.lit(DEVIATIONS) * F.sqrt(folding + sampling) + 1
 
