@@ -85,11 +85,11 @@ def upsert_rows(
 ) -> DataFrame:
     """``merge_rows`` with generated ids: existing rows keep theirs, new rows are numbered after ``after``.
 
-    A key twice in the source ends the load. The merged rows are written once; only new ones are numbered.
+    A key twice in the source ends the load. Ids are given to source rows whose key the target lacks, before the merge, so
+    rows of the target are only read: where the target is laid out by the key, nothing of it is shuffled.
     """
     require_unique(source, keys, "source of the merge")
-    unnumbered = source.withColumn(id_column, F.lit(None).cast(target.schema[id_column].dataType))
-    merged = stored(merge_rows(target, unnumbered, keys, updates), "merged")
-    new = merged.filter(F.col(id_column).isNull()).drop(id_column)
-    new_ids = assign_ids(new.select(*keys), keys, id_column, after)
-    return merged.filter(F.col(id_column).isNotNull()).unionByName(new.join(new_ids, keys).select(*merged.columns))
+    new = stored(source.select(*keys).join(target.select(*keys), keys, "left_anti"), "new-keys")
+    ids = assign_ids(new, keys, id_column, after).select(*keys, F.col(id_column).cast(target.schema[id_column].dataType))
+    numbered = stored(source.join(ids, keys, "left"), "numbered")
+    return merge_rows(target, numbered, keys, updates)

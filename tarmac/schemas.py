@@ -44,6 +44,8 @@ class Table:
     unique: tuple[tuple[str, ...], ...] = ()
     references: tuple[tuple[str, str, str], ...] = ()  # (column, other table, other column)
     partition_by: tuple[str, ...] = ()
+    bucket_by: tuple[str, ...] = ()  # rows of a partition lie in this many files by these columns
+    buckets: int = 0
 
     @property
     def names(self) -> list[str]:
@@ -83,6 +85,8 @@ class Table:
             self.unique,
             self.references,
             self.partition_by,
+            self.bucket_by,
+            self.buckets,
         )
 
 
@@ -193,6 +197,8 @@ DISRUPTION_SUMMARY = Table(
     ),
     unique=(("summary_id",), ("summary_date", "flight_number")),
     partition_by=("summary_date",),
+    bucket_by=("flight_number",),
+    buckets=8,
 )
 
 CREW_WORKLOAD_SUMMARY = Table(

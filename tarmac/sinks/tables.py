@@ -9,7 +9,8 @@ leaves the table as it was. One writer per table is assumed. Old folders stay, s
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,8 @@ JOURNAL = "-journal-"
 def ensure_table(spark: SparkSession, table: Table, name: str, location: str) -> None:
     """Create the table if it is missing; add columns it lacks, older rows show their default."""
     partitioned = f" PARTITIONED BY ({', '.join(table.partition_by)})" if table.partition_by else ""
+    if table.bucket_by:
+        partitioned += f" CLUSTERED BY ({', '.join(table.bucket_by)}) INTO {table.buckets} BUCKETS"
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({table.ddl()}) USING parquet{partitioned} "
         f"LOCATION '{_folder(location, name, 'first')}'"
@@ -77,7 +80,7 @@ def upsert(
     """Insert rows, or update some columns where the key exists, in a table with one partition column.
 
     Only the partitions that occur in the source are read and rewritten; rows of theirs without a new
-    version stay. The source is written out once, because several steps read it. A key that occurs
+    version stay. A table in buckets of a key is not shuffled for that, only the source is. The source is written out once, because several steps read it. A key that occurs
     twice in the source ends the load.
 
     Partitions switch one after the other. What is to be switched is written down first, with the last generated id; if the load dies
@@ -99,11 +102,11 @@ def upsert(
     journal = _journal(spark, name, location)
     before = journal.last()
     last_id = before["last_id"] if before else current.agg(F.max(id_column)).first()[0] or 0
-    merged = upsert_rows(
-        current.filter(F.col(part).isin(*values)), staged, list(keys), list(updates), id_column, last_id
-    )
     seen = Observation()
-    conform(merged, table).observe(seen, F.max(id_column).alias("last_id")).write.partitionBy(part).parquet(folder)
+    with _laid_out_by_some_keys(spark):
+        target = current.filter(F.col(part).isin(*values))
+        merged = upsert_rows(target, staged, list(keys), list(updates), id_column, last_id)
+        _write_partitions(conform(merged, table).observe(seen, F.max(id_column).alias("last_id")), name, part, folder)
     intent = {
         "folder": folder,
         "part": part,
@@ -115,10 +118,39 @@ def upsert(
     journal.finish(number)
 
 
+def _metadata(spark: SparkSession, name: str):
+    state = spark._jsparkSession.sessionState()
+    return state.catalog().getTableMetadata(state.sqlParser().parseTableIdentifier(name))
+
+
+def _write_partitions(rows: DataFrame, name: str, part: str, folder: str) -> None:
+    """Write the rows by partition, in the buckets that the table has in the catalog, if it has some."""
+    spark, spec = rows.sparkSession, _metadata(rows.sparkSession, name).bucketSpec()
+    if spec.isEmpty():
+        rows.write.partitionBy(part).parquet(folder)
+        return
+    columns = spec.get().bucketColumnNames().mkString(",").split(",")
+    # files of buckets are written through a table; it is dropped again, its files stay
+    staging = f"{name}_{uuid.uuid4().hex}"
+    rows.write.partitionBy(part).bucketBy(spec.get().numBuckets(), *columns).option("path", folder).saveAsTable(staging)
+    spark.sql(f"DROP TABLE {staging}")
+
+
+@contextmanager
+def _laid_out_by_some_keys(spark: SparkSession) -> Iterator[None]:
+    """Joins may use a table that is laid out by some of the join keys: a target in buckets stays where it is."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _journal(spark: SparkSession, name: str, location: str) -> Journal:
     """The journal of the table as it was created; one that is dropped and created again starts a new one."""
-    state = spark._jsparkSession.sessionState()
-    created = state.catalog().getTableMetadata(state.sqlParser().parseTableIdentifier(name)).createTime()
+    created = _metadata(spark, name).createTime()
     return Journal(spark, f"{location.rstrip('/')}/{name.replace('.', '_')}{JOURNAL}{created}")
 
 

@@ -4,6 +4,7 @@ import datetime as dt
 import os
 import tempfile
 import uuid
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,6 +91,27 @@ def test_the_last_id_is_not_looked_up_in_the_table(spark, target, monkeypatch):
     assert read.count(1) == 1
 
 
+def test_a_target_in_buckets_is_not_shuffled(spark, target, monkeypatch):
+    name, place = target
+    bucketed = replace(COUNTS, bucket_by=("name",), buckets=4)
+    rows = [("2026-01-01", n, i) for i, n in enumerate("abcdefgh")]
+    plans, write = [], tables._write_partitions
+    monkeypatch.setattr(tables, "_write_partitions", lambda df, *more: plans.append(plan_of(df, "simple")) or write(df, *more))
+    before = spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition")
+    for extra in (0, 10, 20):
+        changed = [(d, n, i + extra) for d, n, i in rows] + [("2026-01-02", f"x{extra}", 1)]
+        upsert(source(spark, changed), bucketed, name, place, ["day", "name"], ["n"], "id")
+    assert sorted((r.name, r.n) for r in spark.table(name).filter("day = '2026-01-01'").collect()) == [(n, i + 20) for i, n in enumerate("abcdefgh")]
+    assert sorted(r.id for r in spark.table(name).collect()) == list(range(1, 12))
+    join = plans[-1]
+    assert "SortMergeJoin" in join and "Bucketed: true" in join and join.count("Exchange") == 1
+    # a file for each bucket of a partition at most
+    files = [f for f in spark.table(name).inputFiles()]
+    assert len(files) <= 2 * 4
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == before
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith(f"{name}_")]
+
+
 def test_rows_are_set_apart_in_one_pass(spark, target):
     name, place = target
     rows = [(1, "abc", "1", "2026-01-01"), (2, "abcd", "x", "2026-01-01"), (None, None, None, None), (4, "d", None, "2026-01-02")]
