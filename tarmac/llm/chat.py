@@ -26,8 +26,9 @@ LOSS_ROLE = "assistant"
 #: Control strings of common templates, without their first character: <| <s> </s> [INST] [/INST] <<SYS>> <</SYS>>.
 CONTROL = r"([<\[])(\\*)(\||/?s>|/?INST\]|</?SYS>>)"
 ESCAPED = r"([<\[])\\(\\*)(\||/?s>|/?INST\]|</?SYS>>)"
-#: Bytes of turns that are assembled at once.
-SLICE_BYTES = 32 << 20
+#: Bytes of turns that are assembled at once, and bytes from which on a text is copied in one piece, without an index for its bytes.
+SLICE_BYTES = 4 << 20
+LONG_BYTES = 1 << 16
 
 FORMATTED = "conv_id long, part long, n_turns long, formatted string, loss_starts array<long>, loss_ends array<long>"
 DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
@@ -73,7 +74,12 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray,
     for fixed, to in ((START, offsets[:-1]), (BREAK, role_to + role_len), (END, text_to + text_len)):
         out[to[:, None] + np.arange(len(fixed))] = np.frombuffer(fixed, np.uint8)
     for source, lengths, at, to in ((role, role_len, role_at, role_to), (text, text_len, text_at, text_to)):
-        out[np.repeat(to - at[:-1], lengths) + np.arange(len(source))] = source
+        short = np.flatnonzero(lengths < LONG_BYTES)
+        for i in np.flatnonzero(lengths >= LONG_BYTES).tolist():
+            out[to[i] : to[i] + lengths[i]] = source[at[i] : at[i + 1]]
+        n = lengths[short]
+        inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        out[np.repeat(to[short], n) + inner] = source[np.repeat(at[short], n) + inner]
     return out, offsets, text_to, text_to + text_len
 
 

@@ -329,8 +329,10 @@ def with_hits(
     words, from ``run_words`` words on; a shorter one is contained only in a text that is those words.
     ``answer_overlap`` is NULL where there is only one sentence, both are for items of fewer than five words. Items with a
     NULL id, NULL text or no word match nothing, nor do NULL or empty texts. Repeated rows each get their hits.
-    ``name`` must not be a column yet.
+    A ``name`` that is a column already is refused.
     """
+    if name.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"the documents already have a column {name}; choose another name")
     at = docs.columns.index(text_col)
     items = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text"))
     items = items.dropna().distinct()

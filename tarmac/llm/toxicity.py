@@ -187,7 +187,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """A bounded sample of labelled documents: at most ``SAMPLE`` ids of each class, by a digest of the id.
 
     A document with several labels is toxic if one says so; NULL labels and ids do not count.
-    Documents of more than ``LONGEST_SAMPLED`` characters are not used for training. Only the chosen ids, a
+    Documents of more than ``LONGEST_SAMPLED`` characters are not used for training; of several rows with one id, one text is. Only the chosen ids, a
     bounded number, are broadcast to find their texts.
     """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
@@ -200,7 +200,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     found = texts.filter(F.length("text") <= LONGEST_SAMPLED).join(
         F.broadcast(picks[0].unionByName(picks[1])), F.col("doc_id") == F.col("of")
     )
-    rows = found.select(F.md5(F.col("of").cast("string")).alias("digest"), "text", "toxic").distinct().collect()
+    # one text of an id, however many rows it has
+    one = found.groupBy("of", "toxic").agg(F.min("text").alias("text"))
+    rows = one.select(F.md5(F.col("of").cast("string")).alias("digest"), "text", "toxic").collect()
     return [(i, r.text, int(r.toxic)) for i, r in enumerate(sorted(rows))]
 
 
@@ -208,8 +210,10 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
     """The documents with all their columns and the probability that each is toxic.
 
     Every window of the whole text counts, nothing but the text does. A NULL or empty text has no window and
-    gets the probability that goes with it. ``name`` must not be a column yet. No shuffle.
+    gets the probability that goes with it. A ``name`` that is a column already is refused. No shuffle.
     """
+    if name.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"the documents already have a column {name}; choose another name")
     at = docs.columns.index(text_col)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,6 @@
 """Toxicity, decontamination, token files, chat formatting: brute force, round trips, held-out accuracy, odd rows."""
 
+import math
 import random
 import re
 import zlib
@@ -8,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from tarmac.llm import chat, decontam, token_files, toxicity
@@ -93,6 +95,51 @@ def test_toxicity_of_odd_rows_and_tables(spark):
     assert b"".join(w.strip() for w in toxicity.windows("a " * 3000)).replace(b" ", b"") == b"a" * 3000
 
 
+def plain_score(model, text):
+    """The score from its definition, one window after another."""
+    words = text.lower().split()
+    runs = [" " + " ".join(words[i : i + 16]) + " " for i in range(0, len(words), 16)]
+    pieces = [r.encode()[j : j + 512] for r in runs for j in range(0, len(r.encode()), 512)]
+
+    def size(dictionary, piece):
+        known = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(level=3, dict_data=known, write_content_size=False, write_checksum=False, write_dict_id=False).compress(piece))
+
+    gains, leads = [], []
+    for piece in pieces:
+        plain = size(model.ordinary, piece)
+        gains.append(min(max(plain - size(model.words, piece), 0), 15))
+        leads.append(min(max(plain - size(model.toxic, piece) + 8, 0), 31))
+    n = len(pieces)
+    known = sum(max(model.evidence[g], 0) for g in gains)
+    lead = sum(x - 8 for x in leads)
+    x = [math.log1p(known), known / max(n, 1), max(gains, default=0), math.log1p(n), lead / max(n, 1), max(leads, default=0)]
+    z = model.weights[0] + sum(w * (v - m) / s for w, v, m, s in zip(model.weights[1:], x, model.mean, model.scale, strict=True))
+    return 1 / (1 + math.exp(-max(min(z, 30), -30)))
+
+
+def test_scores_equal_a_plain_computation(spark):
+    docs, labels = data.frame(spark, "documents"), data.frame(spark, "labels")
+    model = toxicity.train(toxicity.training_rows(docs, labels))
+    rows = data.rows("documents", "doc_id, text", "length(text) < 3000 ORDER BY doc_id LIMIT 40") + [(-1, ""), (-2, "x" * 2_000), (-3, "É ü " * 40)]
+    got = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(rows, DOC), model).collect()}
+    assert all(got[i] == pytest.approx(plain_score(model, t), rel=1e-9) for i, t in rows)
+
+
+def test_training_takes_one_text_of_an_id(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(4, "other")], DOC)
+    labels = spark.createDataFrame([(1, 1, 1), (4, 1, 0)], "doc_id long, quality int, toxic int")
+    assert sorted(t for _, t, _ in toxicity.training_rows(docs, labels)) == ["other", "text 0"]
+
+
+def test_a_name_that_is_a_column_is_refused(spark):
+    docs = spark.createDataFrame([(1, "a", "b")], "doc_id long, text string, Score string")
+    with pytest.raises(ValueError, match="score"):
+        toxicity.score(docs, toxicity.Model())
+    with pytest.raises(ValueError, match="hits"):
+        decontam.with_hits(docs.withColumnRenamed("Score", "HITS"), data.frame(spark, "benchmark"))
+
+
 # --- decontamination
 
 
