@@ -34,8 +34,9 @@ from tarmac.llm.words import chunks
 from tarmac.session import discard, stored
 
 END_ID = 1
-#: Words whose ids a worker remembers; beyond it, it starts anew. About 200 bytes each.
-REMEMBERED_WORDS = 1_000_000
+#: Words whose ids a worker remembers, about 250 bytes each; beyond it, it keeps the most used ones, which are most of the text.
+REMEMBERED_WORDS = 300_000
+KEPT_WORDS = 100_000
 ENCODE_BYTES = 8 << 20
 NULL_ID = -(1 << 63)
 
@@ -67,6 +68,19 @@ class WordEncoder:
         self.ids = np.zeros(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 14, np.int64)
         self.used = 0
+        self.uses = np.zeros(0, np.int64)
+
+    def forget(self) -> None:
+        """Keep the words that were used most."""
+        order = np.argsort(-self.uses, kind="stable")[:KEPT_WORDS]
+        words = list(self.slots)
+        kept = [words[i] for i in order.tolist()]
+        codes = [self.ids[self.ends[i] : self.ends[i + 1]].tolist() for i in order.tolist()]
+        uses = self.uses[order]
+        self.clear()
+        self._remember(kept, codes)
+        # what was used long ago counts less
+        self.uses = uses // 2
 
     def _plain(self, word: str) -> list[int]:
         if not word.isascii():
@@ -96,6 +110,9 @@ class WordEncoder:
         encoded = self.tokenizer.encode_batch([words[i] for i in others], add_special_tokens=False)
         for i, code in zip(others, encoded, strict=True):
             codes[i] = code.ids
+        self._remember(words, codes)
+
+    def _remember(self, words: list[str], codes: list[list[int]]) -> None:
         lengths = np.fromiter(map(len, codes), np.int64, len(codes))
         total, known = int(lengths.sum()), len(self.slots)
         while self.used + total > len(self.ids):
@@ -110,7 +127,7 @@ class WordEncoder:
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows one after the other, and how many each row has. NULL is empty."""
         if len(self.slots) > REMEMBERED_WORDS:
-            self.clear()
+            self.forget()
         column = pc.fill_null(column, "")
         special = pc.match_substring(column, "<|").to_numpy(zero_copy_only=False)
         words = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(pa.array(~special), column, "")))
@@ -119,6 +136,9 @@ class WordEncoder:
         self._learn([w for w in distinct if w not in self.slots])
         slot = np.fromiter((self.slots[w] for w in distinct), np.int64, len(distinct))
         slot = slot[coded.indices.to_numpy()] if len(distinct) else slot
+        used = np.bincount(slot, minlength=len(self.slots))
+        used[: len(self.uses)] += self.uses
+        self.uses = used
         lengths = self.ends[slot + 1] - self.ends[slot]
         after = np.concatenate([[0], np.cumsum(lengths)])
         ids = self.ids[np.repeat(self.ends[slot] - after[:-1], lengths) + np.arange(after[-1])]

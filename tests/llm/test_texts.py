@@ -320,3 +320,19 @@ def test_formatted_text_as_written(spark):
     assert r.formatted == "<|im_start|>user\na<|im_end|>\n<|im_start|>assistant\nb<\\/s><|im_end|>\n"
     assert r.formatted.encode()[r.loss_starts[0] : r.loss_ends[0]] == b"b<\\/s>"
     assert op2_chat_formatting(spark, data.SF).filter("conv_id = -1").collect()[0].loss_chars == 21
+
+
+def test_words_that_are_forgotten_are_learnt_again(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED_WORDS", 50)
+    monkeypatch.setattr(token_files, "KEPT_WORDS", 10)
+    coder = token_files.WordEncoder(public_tokenizers.path(TOKENIZER))
+    draw = random.Random(6)
+    for _ in range(30):
+        words = ["the", "of", "and", *("".join(draw.choice("abcdé") for _ in range(5)) + draw.choice(["", ".", "!?", "'s"]) for _ in range(30))]
+        texts = [" ".join(draw.choices(words, k=40)) for _ in range(5)]
+        ids, per_row = coder.encode(pa.array(texts))
+        want = [x.ids for x in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert ids.tolist() == [i for x in want for i in x] and per_row.tolist() == [len(x) for x in want]
+        assert len(coder.slots) <= 50 + 200 and len(coder.uses) == len(coder.slots)
+    coder.forget()
+    assert {"the", "of", "and"} <= set(coder.slots) and len(coder.slots) == 10
