@@ -35,6 +35,7 @@ def alias_classes(pairs: DataFrame) -> DataFrame:
         labels = following.drop("before")
         labels.scratch_place = following.scratch_place
         if not seen.get["n"]:
+            discard(links)
             return labels.withColumnRenamed("name", "dataset")
 
 

@@ -129,13 +129,15 @@ def crew_disruption_detail(disruptions: DataFrame, crew: DataFrame) -> DataFrame
     )
 
 
-def register_views(spark: SparkSession, events: DataFrame, flights: DataFrame, crew: DataFrame) -> None:
-    """Create or replace the views under their names, so that SQL can read them."""
-    disruptions = flight_disruptions(events, flights)
-    disruptions.createOrReplaceTempView("vw_flight_disruptions")
-    crew_disruption_detail(spark.table("vw_flight_disruptions"), crew).createOrReplaceTempView(
-        "vw_crew_disruption_detail"
-    )
+def register_views(spark: SparkSession, events: DataFrame, flights: DataFrame, crew: DataFrame, prefix: str = "vw_") -> str:
+    """Create or replace the views, so that SQL can read them; the name of the upper one.
+
+    Views of one prefix replace each other: jobs that share a session on different tables need prefixes of their own.
+    """
+    lower, upper = f"{prefix}flight_disruptions", f"{prefix}crew_disruption_detail"
+    flight_disruptions(events, flights).createOrReplaceTempView(lower)
+    crew_disruption_detail(spark.table(lower), crew).createOrReplaceTempView(upper)
+    return upper
 
 
 def crew_qualifications(crew: DataFrame) -> DataFrame:

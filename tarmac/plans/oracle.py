@@ -287,6 +287,11 @@ _REBASED = "'2026-03-01T10:20:3"
 
 ORACLE: dict[str, str] = {
     "scan_project": f"WITH {CREW} SELECT crew_id, full_name AS crew_name, status AS crew_status, base_airport FROM crew",
+    "scan_sources": f"WITH {FLIGHTS},\n{EVENTS},\n{CREW},\n{CUSTOMERS}\n"
+    "SELECT 'flights' AS source, flight_id AS key, destination AS label, CAST(scheduled_arr AS TIMESTAMP) AS at FROM flights\n"
+    "UNION ALL SELECT 'disruption_events', disruption_id, severity, CAST(resolved_at AS TIMESTAMP) FROM disruptions\n"
+    "UNION ALL SELECT 'crew_members', crew_id, base_airport, TIMESTAMP '1995-01-01 00:00:00' FROM crew\n"
+    "UNION ALL SELECT 'marketing_customer', customer_id, state, CAST(date_of_birth AS TIMESTAMP) FROM contacts",
     "flight_disruptions": f"WITH {FLIGHTS},\n{EVENTS},\n{VIEW_1}\n"
     "SELECT * REPLACE (CAST(cost_estimate AS DOUBLE) AS cost_estimate) FROM view_1",
     "crew_disruption_detail": f"WITH {FLIGHTS},\n{EVENTS},\n{CREW},\n{VIEW_1},\n{VIEW_2}\n"

@@ -39,6 +39,7 @@ from tarmac.sinks.retention import unused_folders
 from tarmac.sinks.tables import append, ensure_table, reset
 from tarmac.sources import bindings as b
 from tarmac.sources.lineage_events import SCHEDULER_FACET, read_documents, read_events
+from tarmac.sources.tables import read_table
 from tarmac.streaming.run_pairing import pair_or_release, pair_runs, run_states, write_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +87,23 @@ def scan_project(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def scan_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """The four source tables, stored in their declared shape and scanned with their declared schemas."""
+    sources = [
+        (schemas.FLIGHTS, b.flights(spark, folder), "flight_id", "destination", "scheduled_arr"),
+        (schemas.DISRUPTION_EVENTS, b.disruption_events(spark, folder), "disruption_id", "severity", "resolved_at"),
+        (schemas.CREW_MEMBERS, b.crew_members(spark, folder), "crew_id", "base_airport", "created_at"),
+        (schemas.MARKETING_CUSTOMER, b.marketing_customer(spark, folder), "customer_id", "state", "date_of_birth"),
+    ]
+    parts = []
+    for table, rows, key, label, at in sources:
+        place, wide = scratch_path(spark, table.name), table.widened()
+        conform(apply_defaults(rows, wide, b.RUN_TS), wide).write.parquet(place)
+        found = read_table(spark, wide, place)
+        parts.append(found.select(F.lit(table.name).alias("source"), F.col(key).alias("key"), F.col(label).alias("label"), F.col(at).cast("timestamp_ntz").alias("at")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def flight_disruptions(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(views.flight_disruptions(b.disruption_events(spark, folder), b.flights(spark, folder)))
 
@@ -282,8 +300,11 @@ def load_retention(spark: SparkSession, folder: str) -> DataFrame:
 def staging_by_view(spark: SparkSession, folder: str) -> DataFrame:
     """The staging rows through the registered views, read by name."""
     events = b.disruption_events(spark, folder, open_crew_only=True)
-    views.register_views(spark, events, b.flights(spark, folder), b.crew_members(spark, folder))
-    return comparable(summary.staging(spark.table("vw_crew_disruption_detail")))
+    prefix = f"vw_{uuid.uuid4().hex}_"
+    name = views.register_views(spark, events, b.flights(spark, folder), b.crew_members(spark, folder), prefix)
+    rows = spark.table(name)
+    reset(spark, [name, f"{prefix}flight_disruptions"], [])
+    return comparable(summary.staging(rows))
 
 
 # -- constraints and quality -----------------------------------------------------------------------
@@ -420,11 +441,11 @@ def event_consistency(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rebase_events(spark: SparkSession, folder: str) -> DataFrame:
-    old = b.lineage_events(spark, folder).withColumn("schemaURL", F.col("run.runId"))
+    old = b.lineage_events(spark, folder).withColumn("old_run_id", F.col("run.runId"))
     moved = lineage_runs.rebase_events(old, REBASE_SEED, REBASE_NOW)
     scheduler = lineage_runs.SCHEDULER
     return moved.select(
-        F.col("schemaURL").alias("old_run_id"),
+        "old_run_id",
         F.col("eventType").alias("event_type"),
         F.col("eventTime").alias("event_time"),
         F.col("run.runId").alias("run_id"),
@@ -578,6 +599,7 @@ def streaming_run_states(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "scan_project": scan_project,
+    "scan_sources": scan_sources,
     "flight_disruptions": flight_disruptions,
     "crew_disruption_detail": crew_disruption_detail,
     "staging_filter": staging_filter,
