@@ -1,8 +1,8 @@
 """The same results in SQL for the second engine, where SQL can express them.
 
 Toxicity, token files and decontamination use dictionaries, a vocabulary file and hashes that SQL lacks; near-duplicate
-documents and vectors need a search and a recursion over pairs that take too long on whole tables. Their
-tests compare with brute force.
+documents and vectors need a search and a recursion over pairs, runs of words one join for every period, that take too long on whole
+tables. Their tests compare with brute force.
 """
 
 from __future__ import annotations
@@ -192,6 +192,31 @@ FROM family f JOIN below b ON b.top = f.prefix LEFT JOIN nodes up ON up.prefix =
 GROUP BY f.prefix, f.conv_id, f.depth, up.conv_id, f.n_convs, f.n_children, f.ends_sha256
 """
 
+# every window of 100 bytes, as hexadecimal digits; spans are islands of windows that came before
+SUFFIXES = """
+WITH docs AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), windows AS (
+  SELECT doc_id, pos, md5(substr(x, 2 * pos + 1, 200)) AS h FROM docs, unnest(range(greatest(n - 99, 0))) t(pos)
+), later AS (
+  SELECT doc_id, pos FROM windows QUALIFY row_number() OVER (PARTITION BY h ORDER BY doc_id, pos) > 1
+), islands AS (
+  SELECT doc_id, pos, sum(CASE WHEN gap <= 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos) AS island
+  FROM (SELECT *, pos - lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS gap FROM later)
+), spans AS (
+  SELECT doc_id, min(pos) AS a, max(pos) + 100 AS z FROM islands GROUP BY doc_id, island
+), pieces AS (
+  SELECT doc_id, z, a, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans
+), cut AS (
+  SELECT p.doc_id, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(x), 2 * max(z) + 1) AS kept,
+    sum(z - a) AS n_removed, count(*) AS n_spans
+  FROM pieces p JOIN docs USING (doc_id) GROUP BY p.doc_id
+)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM docs d LEFT JOIN cut USING (doc_id)
+"""
+
 ORACLE = {
     "op1_token_counts": TOKEN_COUNTS,
     "op2_chat_formatting": CHAT,
@@ -199,4 +224,5 @@ ORACLE = {
     "op9_license_scan": LICENSES,
     "op10_line_dedup": LINE_DEDUP,
     "op12_conversation_trie": TRIE,
+    "op13_suffix_dedup": SUFFIXES,
 }
