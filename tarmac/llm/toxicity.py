@@ -104,16 +104,24 @@ def gain_counter(model: Model):
 
 def _contexts(texts: list[str]) -> tuple[Counter, int]:
     """How many different (word before, word after) each word (with a space behind) and prefix has, and all contexts."""
-    seen = set()
-    for text in texts:
-        words = text.lower().split()
-        seen.update(zip(["", *words[:-1]], words, [*words[1:], ""], strict=True))
-    counts = Counter(f"{word} " for _, word, _ in seen)
+    numbers: dict[str, int] = {"": 0}
+    # numbers of three words in a row, as columns: a set of tuples would take many times the memory
+    own = [np.array([numbers.setdefault(w, len(numbers)) for w in text.lower().split()], np.int32) for text in texts]
+    code = np.concatenate([np.zeros(0, np.int32), *own])
+    ends = np.cumsum([len(x) for x in own if len(x)], dtype=np.int64)
+    before, after = np.append(np.int32(0), code[:-1])[: len(code)], np.append(code[1:], np.int32(0))[: len(code)]
+    before[ends[:-1]], after[ends - 1] = 0, 0
+    order = np.lexsort((after, before, code))
+    code, before, after = code[order], before[order], after[order]
+    new = np.ones(len(code), bool)
+    new[1:] = (code[1:] != code[:-1]) | (before[1:] != before[:-1]) | (after[1:] != after[:-1])
+    found = np.bincount(code[new], minlength=len(numbers)).tolist()
+    counts = Counter({f"{word} ": found[i] for word, i in numbers.items() if found[i]})
     for word, n in list(counts.items()):
         for k in PREFIXES:
             if len(word) > k + 1:
                 counts[word[:k]] += n
-    return counts, len(seen)
+    return counts, int(new.sum())
 
 
 def _trained(samples: list[bytes], size: int) -> bytes:

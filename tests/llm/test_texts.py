@@ -4,6 +4,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -336,3 +337,19 @@ def test_words_that_are_forgotten_are_learnt_again(monkeypatch):
         assert len(coder.slots) <= 50 + 200 and len(coder.uses) == len(coder.slots)
     coder.forget()
     assert {"the", "of", "and"} <= set(coder.slots) and len(coder.slots) == 10
+
+
+def test_contexts_equal_a_plain_count():
+    draw = random.Random(7)
+    texts = ["", " ", "a", "a a a a", *(" ".join(draw.choices(["a", "b", "longword", "longworded", "é"], k=draw.randrange(12))) for _ in range(60))]
+    seen = set()
+    for text in texts:
+        w = text.lower().split()
+        seen |= {(w[i - 1] if i else "", w[i], w[i + 1] if i + 1 < len(w) else "") for i in range(len(w))}
+    want = Counter(f"{x} " for _, x, _ in seen)
+    for word, n in list(want.items()):
+        for k in toxicity.PREFIXES:
+            if len(word) > k + 1:
+                want[word[:k]] += n
+    assert toxicity._contexts(texts) == (want, len(seen)) and toxicity._contexts([]) == (Counter(), 0)
+    toxicity.train([(i, "" if i % 5 == 0 else f"w{i} x", i % 2) for i in range(40)])
