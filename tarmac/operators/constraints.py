@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac.schemas import Table
 
@@ -109,15 +110,19 @@ def orphans_in(child: DataFrame, references: list[tuple[str, str, DataFrame, str
     Its rows are counted per column and value, whatever the number of references of a column.
     """
     columns = sorted({column for _, column, _, _ in references})
-    values = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("key_value")) for c in columns])
+    # keys of all columns in one: numbers stay numbers where all are
+    whole = all(isinstance(child.schema[c].dataType, T.IntegralType) for c in columns)
+    kind = "bigint" if whole else "string"
+    values = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(kind).alias("key_value")) for c in columns])
     used = child.select(F.inline(values)).filter("key_value IS NOT NULL").groupBy("column", "key_value").agg(F.count(F.lit(1)).alias("n_rows"))
     labels = F.create_map(*[part for c in columns for part in (F.lit(c), F.array(*[F.lit(label) for label, own, _, _ in references if own == c]))])
     asked = used.select(F.explode(F.element_at(labels, F.col("column"))).alias("check_name"), "key_value", "n_rows")
     known = reduce(
         DataFrame.unionByName,
-        [parent.select(F.lit(label).alias("check_name"), F.col(key).cast("string").alias("key_value")) for label, _, parent, key in references],
+        [parent.select(F.lit(label).alias("check_name"), F.col(key).try_cast(kind).alias("key_value")) for label, _, parent, key in references],
     )
-    return asked.join(known, ["check_name", "key_value"], "left_anti")
+    lost = asked.join(known, ["check_name", "key_value"], "left_anti")
+    return lost.withColumn("key_value", F.col("key_value").cast("string"))
 
 
 def violations(table: Table, df: DataFrame, parents: dict[str, DataFrame]) -> DataFrame:
