@@ -135,6 +135,13 @@ def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = Non
     return found.groupBy("known_digest").agg(F.min("license").alias("license"))
 
 
+def _first_words(spark: SparkSession, known: list[tuple[str, str]] | None) -> list[str]:
+    """The words that a line can begin with, as it is spelled, if its canonical form is a given text: few, as those are."""
+    texts = spark.createDataFrame(known or KNOWN, "license string, text string")
+    firsts = {r[0] for r in texts.select(F.split(canonical(F.col("text")), " ")[0]).distinct().collect()}
+    return sorted(firsts | {other.split(" ")[0] for other, one in EQUIVALENT.items() if one.split(" ")[0] in firsts})
+
+
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: list[tuple[str, str]] | None = None) -> DataFrame:
     """One row per document: doc_id, whole_digest, whole_license, line_licenses (array), n_license_lines.
 
@@ -146,6 +153,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # one row per given license text, at most
     table = F.broadcast(known_digests(docs.sparkSession, known))
     lines = base.select("doc_id", F.explode(F.split("text", "\n", -1)).alias("line"))
+    # a line that begins with no word of a given text cannot be one, and need not be brought to its canonical form
+    first_word = F.regexp_extract(F.lower("line"), r"[\p{L}\p{N}]+", 0)
+    lines = lines.filter(first_word.isin(_first_words(docs.sparkSession, known)))
     named = lines.select("doc_id", digest(F.col("line")).alias("known_digest")).join(table, "known_digest")
     per_doc = named.groupBy(F.col("doc_id").alias("of")).agg(
         F.array_sort(F.collect_set("license")).alias("line_licenses"), F.count(F.lit(1)).alias("n_license_lines")

@@ -104,6 +104,13 @@ def test_whole_licenses(spark):
     assert got == {i: name for i, (name, _) in texts.items()}
 
 
+def test_lines_in_equivalent_spellings(spark):
+    lines = ["  * Licenced under the MIT Licence!", "LICENSED under the mit license", "x Licensed under the MIT License", "© Licensed under the MIT License", "merchantibility of X", "Merchantability of x"]
+    known = [("MIT", "Licensed under the MIT License."), ("X", "Merchantability of X")]
+    got = licenses.scan_licenses(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), known=known).collect()
+    assert {r.doc_id: r.line_licenses for r in got} == {0: ["MIT"], 1: ["MIT"], 2: [], 3: [], 4: ["X"], 5: ["X"]}
+
+
 def test_token_counts_follow_changes_and_count_batches_once(spark):
     schema = "doc_id long, source string, lang string, version string, n_tokens long, op string, order int"
     rollup = token_counts.TokenRollup(spark, scratch_path(spark, "rollup"))
