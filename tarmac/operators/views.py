@@ -10,6 +10,8 @@ from tarmac.functions.time import hours_between
 
 # Rows without a crew are spread over this many key values, so that they do not meet in one partition.
 NULL_KEY_SPREAD = 1024
+#: The crew is only hinted for broadcast after its rows were counted and found to be at most this many.
+BROADCAST_ROWS = 500_000
 
 
 def flight_disruptions(events: DataFrame, flights: DataFrame) -> DataFrame:
@@ -68,7 +70,8 @@ def crew_disruption_detail(disruptions: DataFrame, crew: DataFrame) -> DataFrame
     """``flight_disruptions`` rows with their crew member; crew columns are NULL where there is none.
 
     The second join key is 0 for every row that has a crew id. It only scatters the rows without one,
-    which can never match but would otherwise all be shuffled to the same task.
+    which can never match but would otherwise all be shuffled to the same task. A crew that was counted to be small
+    is broadcast, so that the wide rows of all disruptions are not shuffled a second time; any other is joined by a shuffle.
     """
     left = disruptions.withColumnsRenamed({"crew_id": "event_crew_id"}).withColumn(
         "spread",
@@ -87,6 +90,8 @@ def crew_disruption_detail(disruptions: DataFrame, crew: DataFrame) -> DataFrame
         "max_duty_hours",
         F.when(F.col("crew_id").isNull(), 1).otherwise(0).alias("crew_spread"),
     )
+    small = crew.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    right = F.broadcast(right) if small else right
     matched = left.join(
         right, (left["event_crew_id"] == right["crew_id"]) & (left["spread"] == right["crew_spread"]), "left"
     )

@@ -5,9 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tarmac.operators import lineage_data
+from tarmac.operators import lineage_data, views
 from tarmac.plans.queries import QUERIES
 from tarmac.sources import bindings as b
+from tests import fixtures as fx
 from tests.test_plans import FOLDER, plan_of
 
 
@@ -33,3 +34,21 @@ def test_drift_does_not_sort_the_columns_of_all_events(spark):
 def test_documents_are_stored_compressed(spark, name):
     files = QUERIES[name](spark, FOLDER).inputFiles()
     assert files and all(f.endswith(".gz") for f in files)
+
+
+def test_small_crew_is_broadcast_and_gives_the_rows_of_the_shuffle(spark, monkeypatch):
+    def detail():
+        return views.crew_disruption_detail(views.flight_disruptions(fx.events(spark), fx.flights(spark)), fx.crew(spark))
+
+    key, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "-1")
+    try:
+        by_broadcast = detail()
+        assert "BroadcastHashJoin" in plan_of(by_broadcast, "simple")
+        rows = sorted(map(repr, by_broadcast.collect()))
+        monkeypatch.setattr(views, "BROADCAST_ROWS", 1)
+        by_shuffle = detail()
+        assert "BroadcastHashJoin" not in plan_of(by_shuffle, "simple")
+        assert rows and rows == sorted(map(repr, by_shuffle.collect()))
+    finally:
+        spark.conf.set(key, before)
