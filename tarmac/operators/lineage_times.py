@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tarmac.functions.time import parse_instant
@@ -38,7 +38,7 @@ def gaps_over_time(uses: DataFrame) -> DataFrame:
     ``uses`` holds half-open intervals [valid_from, valid_to) of the kinds ``read`` and ``write``. Every interval opens at one
     point and closes at another; running sums over the points of a dataset tell how many reads and writes are open. No
     interval is compared with another. Points are added up per dataset and time first, then over blocks of time, then
-    inside each block, so that a dataset with a third of all events is spread over its blocks. Empty intervals and
+    inside each block, so that a dataset with a third of all events is spread over its blocks. Points are shuffled once. Empty intervals and
     rows without dataset or times are left out.
     """
     proper = uses.filter("dataset IS NOT NULL AND valid_from < valid_to")
@@ -51,38 +51,34 @@ def gaps_over_time(uses: DataFrame) -> DataFrame:
             F.when(is_read, 0).otherwise(step).alias("writes"),
         )
 
-    points = proper.select("dataset", F.inline(F.array(point("valid_from", 1), point("valid_to", -1))))
+    points = proper.select("dataset", F.inline(F.array(point("valid_from", 1), point("valid_to", -1)))).withColumn("block", _block("at"))
     sums = [F.sum(c).alias(c) for c in ("reads", "writes")]
-    per_time = points.groupBy("dataset", _block("at"), "at").agg(*sums)
-    running = Window.partitionBy("dataset", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    blocks = _blocks(per_time, *sums)
+    # dealt out once by dataset and block: all that follows in a block finds its rows there
+    per_time = points.filter("block IS NOT NULL").repartition("dataset", "block").groupBy("dataset", "block", "at").agg(*sums)
+    in_block, running = _in_block(), _in_block().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = Window.partitionBy("dataset").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    bases = blocks.select("dataset", "block", "next_first", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("reads", "writes")])
-    states = per_time.join(bases, ["dataset", "block"]).select(
-        "dataset",
-        "at",
-        _until().alias("until"),
-        (F.col("reads_before") + F.sum("reads").over(running)).alias("reads"),
-        (F.col("writes_before") + F.sum("writes").over(running)).alias("writes"),
+    blocks = per_time.groupBy("dataset", "block").agg(*sums)
+    bases = blocks.select("dataset", "block", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("reads", "writes")])
+    lacking = F.expr("reads > 0 AND writes = 0")
+    states = (
+        per_time.join(bases, ["dataset", "block"])
+        .withColumns({c: F.col(f"{c}_before") + F.sum(c).over(running) for c in ("reads", "writes")})
+        .select("dataset", "block", "at", lacking.alias("lacking"), F.expr("reads_before > 0 AND writes_before = 0").alias("lacking_before"))
     )
-    lacking = states.filter("reads > 0 AND writes = 0 AND until IS NOT NULL").select("dataset", "at", "until")
-    # stretches that follow each other are one: what remains is where none ends, or none begins
-    ends = F.array(F.struct("at", F.lit(1).alias("n")), F.struct(F.col("until").alias("at"), F.lit(-1).alias("n")))
-    edges = lacking.select("dataset", F.inline(ends)).groupBy("dataset", _block("at"), "at").agg(F.sum("n").alias("n")).filter("n <> 0")
-    gaps = edges.join(_blocks(edges).select("dataset", "block", "next_first"), ["dataset", "block"]).withColumn("gap_to", _until())
-    return gaps.filter("n > 0").select("dataset", F.col("at").alias("gap_from"), "gap_to")
+    # what is open before a block is the state of the point before its first one
+    before = F.coalesce(F.lag("lacking").over(in_block), F.col("lacking_before"))
+    changes = states.withColumn("before", before).filter("lacking <> before").drop("before", "lacking_before")
+    # beginnings and ends alternate; most meet in their block, at most two of a block do not: its first end and its last beginning
+    paired = changes.withColumns({"gap_to": F.lead("at").over(in_block), "is_first": F.lag("at").over(in_block).isNull()})
+    kept = paired.filter("lacking OR is_first").withColumn("met_in", F.when(F.col("lacking") & F.col("gap_to").isNotNull(), F.col("block")))
+    later = F.lead("at").over(Window.partitionBy("dataset", "met_in").orderBy("at"))
+    gaps = kept.withColumn("gap_to", F.when(F.col("met_in").isNotNull(), F.col("gap_to")).otherwise(later))
+    return gaps.filter("lacking").select("dataset", F.col("at").alias("gap_from"), "gap_to")
 
 
 def _block(at: str) -> Column:
-    return F.floor(F.unix_micros(F.col(at).cast("timestamp")) / F.lit(BLOCK_SECONDS * 1_000_000)).alias("block")
+    return F.floor(F.unix_micros(F.col(at).cast("timestamp")) / F.lit(BLOCK_SECONDS * 1_000_000))
 
 
-def _blocks(points: DataFrame, *more: Column) -> DataFrame:
-    """The blocks of each dataset with the first point of the next one."""
-    blocks = points.groupBy("dataset", "block").agg(F.min("at").alias("first"), *more)
-    return blocks.withColumn("next_first", F.lead("first").over(Window.partitionBy("dataset").orderBy("block")))
-
-
-def _until() -> Column:
-    """The next point of the dataset: in the block, else the first of the next block."""
-    return F.coalesce(F.lead("at").over(Window.partitionBy("dataset", "block").orderBy("at")), F.col("next_first"))
+def _in_block() -> WindowSpec:
+    return Window.partitionBy("dataset", "block").orderBy("at")

@@ -107,6 +107,19 @@ def test_gaps_over_time(spark, seed):
     assert lineage_times.gaps_over_time(spark.createDataFrame([], USES)).collect() == []
 
 
+def test_gaps_over_time_shuffle_points_once(spark):
+    """The points of all uses are made once and dealt out once; other shuffles carry blocks or gaps."""
+    adaptive = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(adaptive)
+    spark.conf.set(adaptive, "false")
+    try:
+        uses = spark.createDataFrame([("a", "read", hours(0), hours(1))], USES).repartition(2)
+        made = lineage_times.gaps_over_time(uses)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(adaptive, before)
+    assert made.count("Generate inline") == 1, made
+
+
 def test_distinct_counts_add_up(spark):
     draw = random.Random(4)
     rows = [(draw.choice(["a", "b", None]), draw.randrange(3), draw.choice([None, -5, 0, 7, 40_000, 70_000, 1 << 40, *range(100)])) for _ in range(500)]
