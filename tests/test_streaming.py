@@ -1,7 +1,9 @@
+import os
 import tempfile
 
 import pytest
 
+
 from tarmac.streaming.run_pairing import pair_or_release, pair_runs, run_states, write_available
 
 DDL = "run_id string, event_type string, event_time timestamp_ntz"
@@ -91,3 +93,15 @@ def test_runs_that_never_complete_are_released(spark, place):
     )
     _, states = run()
     assert states["c"] == ("late", 5380.0) and states["e"] == ("never completed", None) and states["a"] == ("paired", 5.0)
+
+
+def test_a_batch_writes_its_changes_only(spark, place):
+    """Files of the whole state are not written again by every batch."""
+    batches(spark, f"{place}/in", [("a", "START", "2026-01-01 10:00:00"), ("a", "COMPLETE", "2026-01-01 10:00:05")])
+    keys = ["providerClass", "rocksdb.changelogCheckpointing.enabled", "rocksdb.trackTotalNumberOfRows"]
+    before = [spark.conf.get(f"spark.sql.streaming.stateStore.{key}", None) for key in keys]
+    write_available(pair_runs(source(spark, f"{place}/in")), f"{place}/out", f"{place}/state")
+    written = [name for _, _, names in os.walk(f"{place}/state/state") for name in names]
+    assert any(name.endswith(".changelog") for name in written)
+    assert not any(name.endswith(".sst") for name in written)
+    assert [spark.conf.get(f"spark.sql.streaming.stateStore.{key}", None) for key in keys] == before
