@@ -1,8 +1,10 @@
+import datetime as dt
 import os
 import tempfile
 
 import pytest
 
+from tarmac.sources import bindings
 
 from tarmac.streaming.run_pairing import pair_or_release, pair_runs, run_states, write_available
 
@@ -105,3 +107,27 @@ def test_a_batch_writes_its_changes_only(spark, place):
     assert any(name.endswith(".changelog") for name in written)
     assert not any(name.endswith(".sst") for name in written)
     assert [spark.conf.get(f"spark.sql.streaming.stateStore.{key}", None) for key in keys] == before
+
+
+@pytest.mark.parametrize("n", [0, 3, 1200])
+def test_deliveries_are_written_in_several_files(spark, place, monkeypatch, n):
+    """As many files for each delivery, in its order, with the rows that one file a delivery holds."""
+    day, kinds = dt.datetime(2024, 1, 1), ["purchase", "click", "error"]
+    rows = [(i, day + dt.timedelta(minutes=i), i % 7, kinds[i // 2 % 3], 1.0, "{}") for i in range(n)]
+    spark.createDataFrame(rows, bindings.STAR_SCHEMAS["events"]).write.parquet(f"{place}/events.parquet")
+
+    def delivered(per_file, to):
+        monkeypatch.setattr(bindings, "EVENTS_PER_FILE", per_file)
+        files = bindings.delivered_events(spark, place, to)
+        found = sorted((f for f in os.listdir(to) if f.startswith("part-")), key=lambda f: os.stat(f"{to}/{f}").st_mtime_ns)
+        assert len(found) == files * (8 if n else 6)
+        parts = [[f"{to}/{f}" for f in found[i : i + files]] for i in range(0, len(found), files)]
+        return files, [sorted(tuple(r) for r in spark.read.parquet(*part).collect()) for part in parts]
+
+    one, want = delivered(200_000, f"{place}/one")
+    several, got = delivered(50, f"{place}/several")
+    assert (one, several) == (1, 4 if n == 1200 else 1) and got == want
+    if n == 1200:
+        batch = bindings.delivered_event_stream(spark, f"{place}/several", several)
+        query = write_available(batch.select("eventTime"), f"{place}/out", f"{place}/state")
+        assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [len(rows) for rows in want]
