@@ -86,10 +86,10 @@ def upsert_rows(
     """``merge_rows`` with generated ids: existing rows keep theirs, new rows are numbered after ``after``.
 
     A key twice in the source ends the load. Ids are given to source rows whose key the target lacks, before the merge, so
-    rows of the target are only read: where the target is laid out by the key, nothing of it is shuffled.
+    rows of the target are only read: where target and source are laid out by the key, only ids are shuffled. Without that,
+    the source is shuffled once, with the ids, for both joins.
     """
     require_unique(source, keys, "source of the merge")
     new = stored(source.select(*keys).join(target.select(*keys), keys, "left_anti"), "new-keys")
     ids = assign_ids(new, keys, id_column, after).select(*keys, F.col(id_column).cast(target.schema[id_column].dataType))
-    numbered = stored(source.join(ids, keys, "left"), "numbered")
-    return merge_rows(target, numbered, keys, updates)
+    return merge_rows(target, source.join(ids, keys, "left"), keys, updates)

@@ -80,8 +80,8 @@ def upsert(
     """Insert rows, or update some columns where the key exists, in a table with one partition column.
 
     Only the partitions that occur in the source are read and rewritten; rows of theirs without a new
-    version stay. A table in buckets of a key is not shuffled for that, only the source is. The source is written out once, because several steps read it. A key that occurs
-    twice in the source ends the load.
+    version stay. A table in buckets of a key is not shuffled for that. The source is written out once, because several steps read
+    it, and in the table's buckets, so that it is shuffled once for all of them. A key that occurs twice in the source ends the load.
 
     Partitions switch one after the other. What is to be switched is written down first, with the last generated id; if the load dies
     in between, the next one (or ``finish_upsert``) switches the rest before it does anything else.
@@ -92,21 +92,18 @@ def upsert(
     (part,) = table.partition_by
     folder = _new_folder(location, name)
 
-    staged_at = f"{folder}-source"
-    source.write.parquet(staged_at)
-    staged = spark.read.parquet(staged_at)
-
-    # one value per partition that is rewritten; the catalog calls below need them by name
-    values = [row[0] for row in staged.select(part).distinct().collect()]
-    current = spark.table(name).select(*table.names)
-    journal = _journal(spark, name, location)
-    before = journal.last()
-    last_id = before["last_id"] if before else current.agg(F.max(id_column)).first()[0] or 0
-    seen = Observation()
-    with _laid_out_by_some_keys(spark):
-        target = current.filter(F.col(part).isin(*values))
-        merged = upsert_rows(target, staged, list(keys), list(updates), id_column, last_id)
-        _write_partitions(conform(merged, table).observe(seen, F.max(id_column).alias("last_id")), name, part, folder)
+    with _staged(source, name, f"{folder}-source", _layout(spark, name, keys)) as staged:
+        # one value per partition that is rewritten; the catalog calls below need them by name
+        values = [row[0] for row in staged.select(part).distinct().collect()]
+        current = spark.table(name).select(*table.names)
+        journal = _journal(spark, name, location)
+        before = journal.last()
+        last_id = before["last_id"] if before else current.agg(F.max(id_column)).first()[0] or 0
+        seen = Observation()
+        with _laid_out_by_some_keys(spark):
+            target = current.filter(F.col(part).isin(*values))
+            merged = upsert_rows(target, staged, list(keys), list(updates), id_column, last_id)
+            _write_partitions(conform(merged, table).observe(seen, F.max(id_column).alias("last_id")), name, part, folder)
     intent = {
         "folder": folder,
         "part": part,
@@ -123,16 +120,48 @@ def _metadata(spark: SparkSession, name: str):
     return state.catalog().getTableMetadata(state.sqlParser().parseTableIdentifier(name))
 
 
+def _buckets(spark: SparkSession, name: str) -> tuple[int, list[str]] | None:
+    """Number and columns of the buckets that the table has in the catalog, if it has some."""
+    spec = _metadata(spark, name).bucketSpec()
+    if spec.isEmpty():
+        return None
+    return spec.get().numBuckets(), spec.get().bucketColumnNames().mkString(",").split(",")
+
+
+def _layout(spark: SparkSession, name: str, keys: Sequence[str]) -> tuple[int, list[str]] | None:
+    """The table's buckets, if rows of one key lie in one of them."""
+    found = _buckets(spark, name)
+    return found if found and set(found[1]) <= set(keys) else None
+
+
+@contextmanager
+def _staged(source: DataFrame, name: str, place: str, layout: tuple[int, list[str]] | None) -> Iterator[DataFrame]:
+    """The rows written to ``place``, for a target in buckets dealt into the same ones."""
+    spark = source.sparkSession
+    if layout is None:
+        source.write.parquet(place)
+        yield spark.read.parquet(place)
+        return
+    buckets, columns = layout
+    # buckets are known to a table only; it is dropped in the end, its files stay
+    staging = f"{name}_{uuid.uuid4().hex}"
+    source.repartition(buckets, *columns).write.bucketBy(buckets, *columns).option("path", place).saveAsTable(staging)
+    try:
+        yield spark.table(staging)
+    finally:
+        spark.sql(f"DROP TABLE {staging}")
+
+
 def _write_partitions(rows: DataFrame, name: str, part: str, folder: str) -> None:
     """Write the rows by partition, in the buckets that the table has in the catalog, if it has some."""
-    spark, spec = rows.sparkSession, _metadata(rows.sparkSession, name).bucketSpec()
-    if spec.isEmpty():
+    spark, found = rows.sparkSession, _buckets(rows.sparkSession, name)
+    if found is None:
         rows.write.partitionBy(part).parquet(folder)
         return
-    columns = spec.get().bucketColumnNames().mkString(",").split(",")
+    buckets, columns = found
     # files of buckets are written through a table; it is dropped again, its files stay
     staging = f"{name}_{uuid.uuid4().hex}"
-    rows.write.partitionBy(part).bucketBy(spec.get().numBuckets(), *columns).option("path", folder).saveAsTable(staging)
+    rows.write.partitionBy(part).bucketBy(buckets, *columns).option("path", folder).saveAsTable(staging)
     spark.sql(f"DROP TABLE {staging}")
 
 

@@ -5,12 +5,13 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tarmac import schemas
+from tarmac import schemas, session
+from tarmac.operators import merge
 from tarmac.operators.conform import apply_defaults, conform, ensure_columns
 from tarmac.operators.constraints import ConstraintError
 from tarmac.operators.merge import SUMMARY_UPDATES, assign_ids, merge_rows
 from tarmac.operators.summary import summary_report
-from tarmac.sinks import loads
+from tarmac.sinks import loads, tables
 from tarmac.sinks.tables import full_refresh, reset
 from tests import fixtures as fx
 
@@ -109,6 +110,35 @@ def test_summary_load_refuses_a_key_twice(spark, place):
     assert stored(spark).keys() == {"UA101", "UA303", "UA404", "UA707"}
 
 
+def test_summary_load_stores_and_shuffles_its_rows_once(spark, place, monkeypatch):
+    kept, plans = [], []
+    write = tables._write_partitions
+    monkeypatch.setattr(merge, "stored", lambda df, label: kept.append(set(df.columns)) or session.stored(df, label))
+
+    def planned(rows, *args):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        write(rows, *args)
+
+    monkeypatch.setattr(tables, "_write_partitions", planned)
+    # as for large rows, and other partitions than buckets
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "5"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        for run_ts in (fx.RUN_TS, LATER):
+            loads.load_disruption_summary(fx.events(spark), fx.flights(spark), fx.crew(spark), place, fx.AS_OF, run_ts)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    # beside the staged source only keys are stored; target and source stay in their buckets, ids are dealt like them
+    assert kept == [{"summary_date", "flight_number"}] * 2
+    for plan in plans:
+        dealt = [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x and "id_bucket" not in x]
+        assert len(dealt) == 1 and "hashpartitioning(flight_number#" in dealt[0] and ", 8), ENSURE" in dealt[0]
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("disruption_summary")] == ["disruption_summary"]
+
+
 def test_full_refresh_replaces_and_survives_a_failed_load(spark, place):
     events, crew = fx.events(spark), fx.crew(spark)
     loads.load_crew_workload(crew, events, place, fx.RUN_TS)
