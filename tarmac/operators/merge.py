@@ -92,4 +92,5 @@ def upsert_rows(
     require_unique(source, keys, "source of the merge")
     new = stored(source.select(*keys).join(target.select(*keys), keys, "left_anti"), "new-keys")
     ids = assign_ids(new, keys, id_column, after).select(*keys, F.col(id_column).cast(target.schema[id_column].dataType))
+    ids = stored(ids, "ids")
     return merge_rows(target, source.join(ids, keys, "left"), keys, updates)
