@@ -31,7 +31,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm.words import chunks
-from tarmac.session import discard, stored
 
 END_ID = 1
 #: Words whose ids a worker remembers, about 250 bytes each; beyond it, it keeps the most used ones, which are most of the text.
@@ -229,11 +228,9 @@ def write_token_files(
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    parts = stored(ordered.mapInArrow(part_writer(_uri(place), tokenizer, end_id), "part long, n_docs long, n_ids long"), "parts")
+    parts = ordered.mapInArrow(part_writer(_uri(place), tokenizer, end_id), "part long, n_docs long, n_ids long")
     # one row per written file
-    written = sorted((r.part, r.n_docs, r.n_ids) for r in parts.collect())
-    discard(parts)
-    return written
+    return sorted((r.part, r.n_docs, r.n_ids) for r in parts.collect())
 
 
 def _read(system: fs.FileSystem, path: str, kind: str) -> np.ndarray:

@@ -13,6 +13,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
+from tarmac import session
 from tarmac.llm import chat, decontam, token_files, toxicity
 from tarmac.llm.queries import TOKENIZER, op2_chat_formatting
 from tarmac.llm.token_counts import encoded_counts
@@ -271,6 +272,13 @@ def test_token_files_of_a_table(spark, tmp_path):
     assert written(spark, data.clashing(data.frame(spark, "documents")), f"file:{tmp_path}/t") == encoded(rows)
 
 
+def test_parts_of_token_files_are_not_stored_as_a_table(spark, tmp_path, monkeypatch):
+    kept = []
+    monkeypatch.setattr(session, "scratch_path", lambda _, label: kept.append(label) or f"{tmp_path}/{label}")
+    assert len(written(spark, spark.createDataFrame(ODD, DOC), str(tmp_path / "t"))) == len(ODD)
+    assert kept == []
+
+
 def test_token_files_of_odd_texts(spark, tmp_path):
     texts = ["Don't STOP, e.g. 3.14!", "a b c", "é é ǅ ﬀ ß İ", "<|endoftext|> x<|ENDOFTEXT|>y", "naïve,", "我们 12ab", "a\x0bb\x0cc\x1cd", "..,,", "o'clock's", "́a", "ÀÉ."]
     rows = [*ODD[:5], *[(10 + i, t) for i, t in enumerate(texts)]]
