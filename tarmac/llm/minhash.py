@@ -211,13 +211,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         several = sizes.groupBy("key").agg(largest, F.count(F.lit(1)).alias("n_parts")).filter("n_parts > 1")
         return several.select("key", F.col("largest.part").alias("main"), F.col("largest.pivots").alias("pivots"))
 
-    # every node against the most similar first node of its buckets
+    # every node against the most similar first node of its buckets; a row of the documents makes one tie and one node at
+    # most, a node one link and one step
+    most = 2 * sketched.count()
     links = _confirm(nearest(members.filter("node != pivot")), texts)
-    parts = stored(connected_components(links.unionByName(ties)), "parts")
+    parts = stored(connected_components(links.unionByName(ties), most), "parts")
     placed = by_part(parts)
     outside = placed.join(largest_parts(placed), "key").filter("part != main").select("node", F.explode("pivots").alias("pivot"))
     links = _confirm(nearest(outside), texts)
-    joined = stored(connected_components(steps_of(parts).unionByName(links)), "parts")
+    joined = stored(connected_components(steps_of(parts).unionByName(links), most), "parts")
 
     # buckets that still hold several components: pairs between those. Rows of a bucket's largest component, which may
     # be nearly all of a hot bucket, meet rows outside of it only. A pair is made in the first bucket it shares: a bucket

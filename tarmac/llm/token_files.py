@@ -38,6 +38,8 @@ REMEMBERED_WORDS = 300_000
 KEPT_WORDS = 100_000
 ENCODE_BYTES = 8 << 20
 NULL_ID = -(1 << 63)
+#: Ids that a task reads back at least, where there are more parts than cores.
+READ_IDS = 4_000_000
 
 #: Letters, and marks after them other than the apostrophe: the tokenizer splits these two and nothing else.
 _PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)\Z")
@@ -275,4 +277,6 @@ def read_token_files(spark: SparkSession, place: str, written: list[tuple[int, i
                         }
                     )
 
-    return spark.range(0, len(numbers), 1, len(numbers)).mapInArrow(read, schema)
+    # several small parts a task, one after the other
+    tasks = min(len(numbers), max(spark.sparkContext.defaultParallelism, int(bases[-1]) // READ_IDS))
+    return spark.range(0, len(numbers), 1, tasks).mapInArrow(read, schema)

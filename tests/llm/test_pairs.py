@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tarmac.llm import embeddings, minhash
+from tarmac.llm import components, embeddings, minhash
 from tarmac.llm.components import connected_components
 from tarmac.llm.words import shingles_of, word_bounds, word_hashes, chunks
 from tests.llm import brute, data
@@ -27,6 +27,32 @@ def test_components_of_chains_stars_and_loops(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_small_tables_of_components_are_few_files(spark, monkeypatch):
+    """Also where shuffles have many partitions that Spark does not put together; more rows make more files."""
+    was = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    written, stored = [], components.stored
+    monkeypatch.setattr(components, "stored", lambda df, label: written.append(stored(df, label)) or written[-1])
+    monkeypatch.setattr(components, "discard", lambda frame: None)
+    edges = spark.createDataFrame([(i - 1, i) for i in range(1000) if i % 10], "a long, b long")
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "60")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        # rows a file, most edges, files of the first table, files of the others
+        for rows, most, first, others in ((500, None, 60, cores), (500, 900, cores, cores), (30, 900, 30, 30)):
+            monkeypatch.setattr(components, "ROWS_A_FILE", rows)
+            written.clear()
+            parts = connected_components(edges, most)
+            files = [len(frame.inputFiles()) for frame in written]
+            assert {r.node: r.component for r in parts.collect()} == {i: i - i % 10 for i in range(1000)}
+            # Spark leaves out the files of empty partitions
+            assert len(files) > 2 and 0.8 * first <= files[0] <= first and files[1] == others
+            assert rows != 500 or parts.rdd.getNumPartitions() == cores
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+
+
 def test_words_are_cut_at_ascii_space_only():
     import pyarrow as pa
 

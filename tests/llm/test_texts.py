@@ -279,6 +279,25 @@ def test_parts_of_token_files_are_not_stored_as_a_table(spark, tmp_path, monkeyp
     assert kept == []
 
 
+def test_small_parts_are_read_back_by_few_tasks(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(i, f"word {i}") for i in range(100)], DOC)
+    was = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "20")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        parts = token_files.write_token_files(docs, str(tmp_path), public_tokenizers.path(TOKENIZER))
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    cores, ids = spark.sparkContext.defaultParallelism, sum(n for _, _, n in parts)
+    assert len(parts) > cores + 2
+    for read_ids, tasks in ((token_files.READ_IDS, cores), (ids // (cores + 2), cores + 2), (1, len(parts))):
+        monkeypatch.setattr(token_files, "READ_IDS", read_ids)
+        back = token_files.read_token_files(spark, str(tmp_path), parts)
+        assert back.rdd.getNumPartitions() == tasks
+        assert sorted((tuple(r) for r in back.collect()), key=lambda r: r[1]) == encoded([(i, f"word {i}") for i in range(100)])
+
+
 def test_token_files_of_odd_texts(spark, tmp_path):
     texts = ["Don't STOP, e.g. 3.14!", "a b c", "é é ǅ ﬀ ß İ", "<|endoftext|> x<|ENDOFTEXT|>y", "naïve,", "我们 12ab", "a\x0bb\x0cc\x1cd", "..,,", "o'clock's", "́a", "ÀÉ."]
     rows = [*ODD[:5], *[(10 + i, t) for i, t in enumerate(texts)]]
